@@ -4,20 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, sql
+from . import bpe, exact_dedup, mixing, sql
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(_documents(spark, sf_dir))
+
+
+def vocabulary() -> str:
+    """The vocabulary file of op6, as the installed package of public tokenizers places it."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded(_documents(spark, sf_dir), vocabulary())
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_documents(spark, sf_dir))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op8_exact_dedup,)}
+    return {f.__name__: f for f in (op5_mixing, op6_bpe, op8_exact_dedup)}
 
 
 def oracle_sql() -> dict:
-    return {"op8_exact_dedup": sql.EXACT_DEDUP}
+    return {"op5_mixing": sql.MIXING, "op8_exact_dedup": sql.EXACT_DEDUP}
