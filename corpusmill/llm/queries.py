@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, mixing, sql
+from . import bpe, exact_dedup, mixing, simhash, sql
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_documents(spark, sf_dir), shingle=3, distance=2)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(_documents(spark, sf_dir))
 
@@ -31,7 +35,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op5_mixing, op6_bpe, op8_exact_dedup)}
+    return {f.__name__: f for f in (op1_simhash, op5_mixing, op6_bpe, op8_exact_dedup)}
 
 
 def oracle_sql() -> dict:
