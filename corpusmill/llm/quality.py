@@ -170,12 +170,19 @@ def _best_test(x: np.ndarray, bad: np.ndarray) -> tuple[float, Test] | None:
     return best
 
 
-def learn(x: np.ndarray, bad: np.ndarray, max_rules: int = 12, max_tests: int = 4, precision: float = 0.95, least: int = 3, seed: int = 0) -> list[Rule]:
-    """An ordered list of rules for the bad class. ``precision`` is what a rule needs on rows it wasn't grown on, ``least`` how many it must cover."""
+def learn(x: np.ndarray, bad: np.ndarray, max_rules: int = 12, max_tests: int = 4, precision: float = 0.95, least: int = 3, tries: int = 10, seed: int = 0) -> list[Rule]:
+    """An ordered list of rules for the bad class. ``precision`` is what a rule needs on rows it wasn't grown on, ``least`` how many it must cover.
+
+    Each rule is grown on two thirds of the rows, drawn anew, and pruned on the rest; after ``tries`` draws without a good rule the list ends.
+    """
     rules: list[Rule] = []
     rng = np.random.default_rng(seed)
-    fold = rng.random(len(x)) < 1 / 3
-    while len(rules) < max_rules and bad[~fold].sum() >= least:
+    failed = 0
+    while len(rules) < max_rules and failed < tries and bad.sum() >= least:
+        fold = rng.random(len(x)) < 1 / 3
+        failed += 1
+        if bad[~fold].sum() < least:
+            continue
         gx, gb, px, pb = x[~fold], bad[~fold], x[fold], bad[fold]
         rule: Rule = ()
         live = np.ones(len(gx), dtype=bool)
@@ -196,9 +203,10 @@ def learn(x: np.ndarray, bad: np.ndarray, max_rules: int = 12, max_tests: int =
         hit = _covers(rule, px) if rule else np.zeros(len(px), dtype=bool)
         hits = _covers(rule, x) if rule else np.zeros(len(x), dtype=bool)
         if not rule or hits.sum() < least or (bad & hits).sum() < precision * hits.sum() or (hit.any() and (pb & hit).sum() < precision * hit.sum()):
-            break
+            continue
         rules.append(rule)
-        x, bad, fold = x[~hits], bad[~hits], fold[~hits]
+        failed = 0
+        x, bad = x[~hits], bad[~hits]
     return rules
 
 
