@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, mixing, quality, simhash, sql
+from . import bpe, exact_dedup, mixing, quality, simhash, sql, url_filters
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir), shingle=3, distance=2)
 
 
+#: The rules of op3.
+URL_RULES = [url_filters.Rule("net/", "block"), url_filters.Rule("example.net/en/", "allow"), url_filters.Rule("example.com/de/", "block"), url_filters.Rule("org/fr/", "allow")]
+
+
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judged(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -39,7 +47,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash, op4_quality_rules, op5_mixing, op6_bpe, op8_exact_dedup)}
+    return {f.__name__: f for f in (op1_simhash, op3_url_filters, op4_quality_rules, op5_mixing, op6_bpe, op8_exact_dedup)}
 
 
 def oracle_sql() -> dict:
