@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, mixing, quality, simhash, sql, url_filters
+from . import bpe, exact_dedup, mixing, pii, quality, simhash, sql, url_filters
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,12 +42,16 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(_documents(spark, sf_dir), vocabulary())
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(_documents(spark, sf_dir))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_documents(spark, sf_dir))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash, op3_url_filters, op4_quality_rules, op5_mixing, op6_bpe, op8_exact_dedup)}
+    return {f.__name__: f for f in (op1_simhash, op3_url_filters, op4_quality_rules, op5_mixing, op6_bpe, op7_pii, op8_exact_dedup)}
 
 
 def oracle_sql() -> dict:
