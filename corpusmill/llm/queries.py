@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, mixing, pii, quality, simhash, sql, url_filters
+from . import bpe, exact_dedup, mixing, pii, quality, simhash, sql, substring_dedup, suffix_dedup, url_filters
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir), shingle=3, distance=2)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.without_repeats(_documents(spark, sf_dir))
+
+
 #: The rules of op3.
 URL_RULES = [url_filters.Rule("net/", "block"), url_filters.Rule("example.net/en/", "allow"), url_filters.Rule("example.com/de/", "block"), url_filters.Rule("org/fr/", "allow")]
 
@@ -50,8 +54,12 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_documents(spark, sf_dir))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(_documents(spark, sf_dir))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash, op3_url_filters, op4_quality_rules, op5_mixing, op6_bpe, op7_pii, op8_exact_dedup)}
+    return {f.__name__: f for f in (op1_simhash, op2_substring_dedup, op3_url_filters, op4_quality_rules, op5_mixing, op6_bpe, op7_pii, op8_exact_dedup, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict:
