@@ -101,3 +101,20 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
+
+
+def first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that stay, with all their columns: one of each group of equal texts; of rows that share id and text, any one.
+
+    The ids that go are joined back to docs; they are sent to every executor if few, else shuffled.
+    """
+    groups = exact_groups(docs, id_col, text_col)
+    gone = groups.filter((F.col("group_size") > 1)).select(F.col(id_col).alias("copy_id"), F.unhex("text_sha256").alias("copy_digest"), "kept").distinct()
+    few = gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    rows = docs.withColumn("__digest", F.unhex(F.sha2(normalised(F.col(text_col)), 256)))
+    same = F.col(id_col).eqNullSafe(F.col("copy_id")) & (F.col("__digest") == F.col("copy_digest"))
+    joined = rows.join(F.broadcast(gone) if few else gone, same, "left")
+    alone = joined.filter("kept is null").select(*docs.columns)
+    # Rows that share their id as well: those of a staying id and one text are one row.
+    staying = joined.filter("kept").dropDuplicates(["__digest"]).select(*docs.columns)
+    return alone.union(staying)

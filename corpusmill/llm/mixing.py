@@ -137,3 +137,32 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     per = mix.pieces.groupBy("source", "bucket", "seq").agg(F.sum("words").alias("taken")).select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.col("seq").alias("q"), "taken")
     same = F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")) & (F.col("seq") == F.col("q"))
     return mix.docs.join(per, same, "left").select(F.col("id").alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
+def taken_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", count_col: str | None = "n_chars", **options) -> DataFrame:
+    """The mix itself, with the columns of docs: a row for each time round in which words of it are taken, with these words as its text.
+
+    Mostly that is the whole text as it is; where a source's stream ends within a text, its first words joined by blanks. count_col, where
+    docs have it, becomes the length of the text. Ids tell the rows of docs apart here; rows that share one go by their source and size.
+    """
+    mix = schedule(docs, id_col, text_col, source_col, **options)
+    # Blocks of one turn of a row follow each other, so their words are one span.
+    spans = mix.pieces.groupBy("source", "bucket", "seq", "epoch").agg(F.min("first").alias("first"), F.sum("words").alias("words"))
+    spans = spans.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.col("seq").alias("q"), "epoch", "first", "words")
+    same = F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")) & (F.col("seq") == F.col("q"))
+    # How many rows share what the rows of docs can be told by: each stands for as many.
+    taken = mix.docs.join(spans, same).select("id", F.col("source").alias("of"), F.col("size").alias("n"), "seq", "epoch", "first", "words")
+    turns = taken.groupBy("id", "of", "n").agg(F.collect_list(F.struct("seq", "epoch", "first", "words")).alias("__turns"), F.countDistinct("seq").alias("__rows"))
+    turns = turns.select(F.col("id").alias("__id"), F.col("of").alias("__of"), F.col("n").alias("__n"), "__turns", "__rows")
+    rows = docs.withColumn("__size", word_count(F.col(text_col)))
+    rows = rows.join(turns, F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).eqNullSafe(F.col("__of")) & (F.col("__size") == F.col("__n")))
+    # Of rows that share all three, the turns are dealt to the copies by their text, so that none comes twice.
+    order = Window.partitionBy("__id", "__of", "__n").orderBy(text_col)
+    rows = rows.withColumn("__copy", F.row_number().over(order)).withColumn("__seqs", F.array_sort(F.array_distinct(F.transform("__turns", lambda t: t["seq"]))))
+    rows = rows.withColumn("__seq", F.get("__seqs", F.col("__copy") - 1)).withColumn("__turn", F.explode(F.filter("__turns", lambda t: t["seq"] == F.col("__seq"))))
+    words = F.slice(F.filter(F.split(text_col, r"[\x20\x09-\x0D]+"), lambda w: w != ""), (F.col("__turn.first") + 1).cast("int"), F.col("__turn.words").cast("int"))
+    whole = F.col("__turn.words") == F.col("__size")
+    out = rows.withColumn(text_col, F.when(whole, F.col(text_col)).otherwise(F.array_join(words, " ")))
+    if count_col in docs.columns:
+        out = out.withColumn(count_col, F.length(text_col).cast(docs.schema[count_col].dataType))
+    return out.select(*docs.columns)

@@ -33,6 +33,8 @@ SHINGLE_WORDS = 5
 RUN = 128
 #: Cost of one probe, which is shuffled and sorted, in comparisons.
 PROBE_COST = 40.0
+#: Ids up to which the near-copies that go are sent to every executor (16 MB at most).
+BROADCAST_ROWS = 1_000_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -289,3 +291,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         named = distinct.join(comps, distinct["rep"] == comps["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     own = F.when(F.col("id").isNotNull(), F.col("component_id"))
     return prints.join(named, "fp", "left").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), own.alias("component_id"))
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS, distance: int = 2, run: int = RUN) -> DataFrame:
+    """The rows of docs that stay, with all their columns: of each group of near-duplicates those of the smallest id, and those without an id.
+
+    Only the ids that go are joined to the rows; they are sent to every executor if few, else shuffled.
+    """
+    found = near_duplicates(docs, id_col, text_col, shingle, distance, run)
+    gone = staged(found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("gone_id")).distinct(), "near-copies")
+    few = gone.count() <= BROADCAST_ROWS
+    return docs.join(F.broadcast(gone) if few else gone, docs[id_col] == gone["gone_id"], "left_anti")
