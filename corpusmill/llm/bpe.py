@@ -25,9 +25,9 @@ from .shared import importable
 #: A rank above all merges.
 NEVER = 1 << 30
 #: Distinct words whose encoding a worker keeps; beyond it, it starts anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 #: Characters of the texts that are looked at together.
-BATCH_CHARS = 8_000_000
+BATCH_CHARS = 2_000_000
 #: Symbols of the longest words that are merged together; longer ones are merged one by one.
 TOGETHER = 64
 #: Ends a word in the trie.
