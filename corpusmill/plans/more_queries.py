@@ -1 +1,101 @@
-"""More registered queries."""
+"""Queries over extraction, packaging, judging and instruction data."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as T
+from ..operators import extract, judge, rules
+from ..sources import readers, writers
+from .catalog import conversations, documents, query, table
+
+
+@query()
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = extract.extracted(table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("text")))
+    return out.select("page_id", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"), "reject")
+
+
+@query()
+def latex_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Papers made of documents: title, macro and body."""
+    tex = F.concat(F.lit(r"\newcommand{\zz}{the}\title{"), F.substring("text", 1, 20), F.lit("}\\begin{document}\\maketitle\n"), F.replace("text", F.lit(" the "), F.lit(r" \zz ")), F.lit("% note\n\\end{document}"))
+    out = extract.extracted(documents(spark, sf_dir).select("doc_id", tex.alias("text")))
+    return out.select("doc_id", F.md5("text").alias("text_md5"), "reject")
+
+
+@query()
+def arxiv_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Papers in Markdown made of documents: numbered headings, citations and residual commands."""
+    md = F.concat(F.lit("# 1 Intro\n"), F.replace("text", F.lit(". "), F.lit(" smith2020deep .\n## 2.1 Part\n\\cmd{x} ")), F.lit("\n$$a % c\nb$$"))
+    f = rules.make_filter("arxiv")
+    out = f.signals(documents(spark, sf_dir).select("doc_id", md.alias("text"))).withColumn("failures", rules.failures(f))
+    return out.select("doc_id", F.md5("__clean").alias("clean_md5"), F.col("__sections").alias("sections"), F.array_join(F.transform("failures", lambda x: x["rule"]), ",").alias("rules"))
+
+
+@query(r"""WITH m AS (SELECT doc_id, '# ' || replace(translate(text, '$#`{}\\', ''), '. ', chr(10) || '## Part' || chr(10) || '$x$ \cmd{a} ') AS t FROM documents)
+SELECT doc_id, true AS has_title, false AS has_abstract, true AS has_sections, len(regexp_extract_all(t, '(?m)^#+\s+'))::BIGINT AS num_sections, len(regexp_extract_all(t, '\$x\$'))::BIGINT AS num_equations_inline,
+  (7 * len(regexp_extract_all(t, '\\cmd\{a\}')))::DOUBLE / length(replace(t, '$x$', '')) AS residual FROM m""")
+def paper_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    md = F.concat(F.lit("# "), F.replace(F.translate("text", "$#`{}\\", ""), F.lit(". "), F.lit("\n## Part\n$x$ \\cmd{a} ")))
+    rows = documents(spark, sf_dir).select("doc_id", md.alias("t"))
+    rows = rows.select("doc_id", T.structure(F.col("t")).alias("s"), T.latex_residual(F.col("t")).alias("residual"))
+    longs = [F.col(f"s.{c}").cast("long").alias(c) for c in ("num_sections", "num_equations_inline")]
+    return rows.select("doc_id", "s.has_title", "s.has_abstract", "s.has_sections", *longs, "residual")
+
+
+_LINE = "to_json({'doc_id': doc_id, 'source': source, 'n_chars': n_chars, 'k': lpad(doc_id::VARCHAR, 12, '0')})"
+
+
+@query(f"SELECT doc_id, sha256({_LINE}) AS line_sha, (sum(strlen({_LINE}) + 1) OVER (ORDER BY lpad(doc_id::VARCHAR, 12, '0') ROWS UNBOUNDED PRECEDING) - strlen({_LINE}) - 1)::BIGINT // 100000 AS shard FROM documents")
+def shard_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's packaged line and the shard of about 100,000 bytes that it goes to."""
+    docs = documents(spark, sf_dir).select("doc_id", "source", "n_chars", F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("k"))
+    lines = writers.sharded(docs, "k", target=100_000)
+    return lines.select(F.get_json_object("line", "$.doc_id").cast("long").alias("doc_id"), F.sha2("line", 256).alias("line_sha"), F.col("shard").cast("long").alias("shard"))
+
+
+@query("SELECT conv_id, concat_ws(chr(10), CASE WHEN trim(coalesce(i, '')) <> '' THEN i END, CASE WHEN trim(coalesce(o, '')) <> '' THEN o END) AS merged FROM (SELECT conv_id, arg_min(text, turn) FILTER (role = 'user') AS i, arg_min(text, turn) FILTER (role = 'assistant') AS o FROM conversations GROUP BY conv_id)")
+def merged_instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations(spark, sf_dir)
+    return rows.select("conv_id", readers.merged_instruction(rows).alias("merged"))
+
+
+def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with what a model could have answered: JSON, JSON cut short, or no JSON, by the document's length."""
+    ok = F.when(F.col("n_chars") % 3 == 0, "true").otherwise("false")
+    score = (F.col("n_chars") % 5 + 1).cast("string")
+    whole = F.concat(F.lit('{"factuality": {"pass": '), ok, F.lit(', "reason": "r"}, "coherence": {"score": '), score, F.lit(', "reason": ""}}'))
+    answer = F.when(F.col("n_chars") % 7 == 0, "no idea").when(F.col("n_chars") % 7 == 1, F.concat(F.lit("Sure: "), whole, F.lit("!"))).otherwise(whole)
+    return documents(spark, sf_dir).select("doc_id", answer.alias("answer"))
+
+
+def _judge_rules() -> list[judge.JudgeRule]:
+    return [r for r in judge.rules_for("pretrain", {"coherence": {"mode": "score", "threshold": 3.0, "max_score": 5}}) if r.name in ("factuality", "coherence")]
+
+
+_JUDGED = "WITH a AS (SELECT doc_id, n_chars % 7 <> 0 AS said, n_chars % 3 = 0 AS f, n_chars % 5 + 1 AS c FROM documents), j AS (SELECT doc_id, said AND f AS f, CASE WHEN said THEN c::DOUBLE ELSE 0.0 END AS c FROM a) "
+
+
+@query(_JUDGED + "SELECT doc_id, CASE WHEN f AND c >= 3 THEN 'high' ELSE 'low' END AS quality, concat_ws(',', CASE WHEN NOT f THEN 'factuality' END, CASE WHEN c < 3 THEN 'coherence' END) AS failed_rules FROM j")
+def judged_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = judge.judged(_answers(spark, sf_dir), _judge_rules(), F.col("answer"))
+    return out.select("doc_id", "quality", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
+@query(_JUDGED + "SELECT 'factuality' AS rule, count(*) AS scored, count(*) FILTER (NOT f) AS failed, avg(f::INT) AS mean_score FROM j UNION ALL SELECT 'coherence', count(*), count(*) FILTER (c < 3), avg(c) FROM j UNION ALL SELECT 'quality', count(*), count(*) FILTER (NOT (f AND c >= 3)), avg((f AND c >= 3)::INT) FROM j")
+def judge_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge.score_summary(judge.judged(_answers(spark, sf_dir), _judge_rules(), F.col("answer")))
+
+
+@query("SELECT page_id, CASE WHEN regexp_matches(name, '^\\d{4}\\.\\d{4,5}') THEN regexp_extract(name, '^(\\d{4}\\.\\d{4,5})', 1) ELSE 'hep-th/' || substr(name, 7, 7) END AS paper, CASE WHEN regexp_matches(name, '^\\d{4}\\.') THEN substr(name, 1, 4) ELSE substr(name, 7, 4) END AS yymm FROM (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN '24' || lpad((1 + page_id % 12)::VARCHAR, 2, '0') || '.' || lpad(page_id::VARCHAR, 5, '0') || 'v2.gz' ELSE 'hep-th99' || lpad((1 + page_id % 12)::VARCHAR, 2, '0') || lpad((page_id % 1000)::VARCHAR, 3, '0') || '.gz' END AS name FROM pages)")
+def paper_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    month = F.lpad((1 + F.col("page_id") % 12).cast("string"), 2, "0")
+    new = F.concat(F.lit("24"), month, F.lit("."), F.lpad(F.col("page_id").cast("string"), 5, "0"), F.lit("v2.gz"))
+    old = F.concat(F.lit("hep-th99"), month, F.lpad((F.col("page_id") % 1000).cast("string"), 3, "0"), F.lit(".gz"))
+    rows = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("2401/"), F.when(F.col("page_id") % 2 == 0, new).otherwise(old)).alias("member"))
+    rows = rows.withColumn("paper", readers.arxiv_id(F.col("member")))
+    return rows.select("page_id", "paper", readers.arxiv_month(F.col("paper")).alias("yymm"))
+
+

@@ -158,14 +158,14 @@ def tar_members(spark: SparkSession, path: str) -> DataFrame:
 @register_source("arxiv_tar", domain="papers", priority=5, params={"path": str, "ids": list, "months": list})
 def arxiv_tar(spark: SparkSession, path: str, ids: list[str] | None = None, months: list[str] | None = None) -> DataFrame:
     """Papers in tar archives of gzipped sources, by ids or months where given: the text is the merged TeX."""
-    from ..operators.extract import merged_tex, unpacked_source
+    from ..operators.extract import merged_source
 
     rows = tar_members(spark, path).withColumn("paper", arxiv_id(F.col("member"))).filter("paper is not null")
     if ids is not None:
         rows = rows.join(F.broadcast(spark.createDataFrame([(i,) for i in ids], "paper string")), "paper", "left_semi")  # the caller's own list
     elif months is not None:
         rows = rows.filter(arxiv_month(F.col("paper")).isin(*months))
-    text = merged_tex(unpacked_source(F.col("body")))
+    text = merged_source(F.col("body"))
     return rows.select(F.col("paper").alias("id"), text.alias("text"), F.lit("arxiv_tar").alias("source"), F.to_json(F.struct(F.col("paper").alias("arxiv_id"))).alias("metadata")).filter("text <> ''")
 
 
