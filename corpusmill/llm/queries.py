@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, mixing, pii, quality, simhash, sql, substring_dedup, suffix_dedup, url_filters
+from . import bpe, exact_dedup, mixing, pii, quality, simhash, sql, substring_dedup, suffix_dedup, token_counts, url_filters
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,12 +54,19 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_documents(spark, sf_dir))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document."""
+    import public_tokenizers
+
+    return token_counts.by_lines(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.without_repeats(_documents(spark, sf_dir))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash, op2_substring_dedup, op3_url_filters, op4_quality_rules, op5_mixing, op6_bpe, op7_pii, op8_exact_dedup, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op1_simhash, op2_substring_dedup, op3_url_filters, op4_quality_rules, op5_mixing, op6_bpe, op7_pii, op8_exact_dedup, op9_token_counts, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict:
