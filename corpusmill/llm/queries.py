@@ -12,7 +12,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(_documents(spark, sf_dir), shingle=3, distance=2)
+    return simhash.near_duplicates(_documents(spark, sf_dir), shingle=3, distance=2, similarity=None)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

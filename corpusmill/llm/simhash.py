@@ -23,12 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytes_np as B
+from . import similar
 from .components import components
 from .shared import importable, staged
 
 BITS = 64
 #: Words of a shingle in general use; the query has its own.
 SHINGLE_WORDS = 5
+#: Jaccard similarity of near-duplicates in general use.
+SIMILARITY = 0.8
 #: Fingerprints that share a probe and are compared pair by pair, at most; more are linked by way of their neighbours.
 RUN = 128
 #: Cost of one probe, which is shuffled and sorted, in comparisons.
@@ -274,31 +277,41 @@ def links(fps: DataFrame, distance: int = 2, run: int = RUN) -> DataFrame:
     return found
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS, distance: int = 2, run: int = RUN) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS, distance: int = 2, run: int = RUN, similarity: float | None = SIMILARITY,
+) -> DataFrame:
     """One row per row of docs: id, fingerprint (16 hexadecimal digits), component_id.
 
-    Fingerprints link at ``distance`` or fewer differing bits; component_id is the smallest id reachable over links, the row's own
-    included. Null, empty and blank texts have fingerprint 0 and link like any other; fewer words than a shingle make one shingle.
-    Ids are integers; rows without one link nothing and have no component. Repeated rows link to each other as copies. An empty table
-    gives an empty result; other columns are ignored.
+    Fingerprints link at ``distance`` or fewer differing bits; with ``similarity``, texts also link where the Jaccard similarity of their
+    shingle sets is that or more (see ``similar``: bits are too coarse for it). component_id is the smallest id reachable over links, the
+    row's own included. Null, empty and blank texts have fingerprint 0 and link like any other; fewer words than a shingle make one
+    shingle. Ids are integers; rows without one link nothing and have no component. Repeated rows link to each other as copies. An empty
+    table gives an empty result; other columns are ignored.
     """
     prints = staged(fingerprints(docs, id_col, text_col, shingle).select(F.col("id").cast("long"), "fp"), "fingerprints")
     distinct = staged(prints.filter("id is not null").groupBy("fp").agg(F.min("id").alias("rep")), "distinct")
+    nodes = prints.select("id", "fp").join(distinct, "fp", "left")
     if distinct.isEmpty():
-        named = distinct.select("fp", F.col("rep").alias("component_id"))
-    else:
+        named = nodes.select("id", "fp", F.lit(None).cast("long").alias("component_id"))
+    elif similarity is None:
         comps = components(links(distinct, distance, run))
-        named = distinct.join(comps, distinct["rep"] == comps["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
+        of_print = distinct.join(comps, distinct["rep"] == comps["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
+        named = prints.join(of_print, "fp", "left")
+    else:
+        rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null")
+        copies = nodes.filter("id <> rep").select(F.col("rep").alias("u"), F.col("id").alias("v"))
+        comps = components(links(distinct, distance, run).union(copies).union(similar.links(rows, similarity, shingle)))
+        named = prints.join(comps, prints["id"] == comps["node"], "left").select("id", "fp", F.coalesce("component", "id").alias("component_id"))
     own = F.when(F.col("id").isNotNull(), F.col("component_id"))
-    return prints.join(named, "fp", "left").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), own.alias("component_id"))
+    return named.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), own.alias("component_id"))
 
 
-def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS, distance: int = 2, run: int = RUN) -> DataFrame:
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS, distance: int = 2, run: int = RUN, similarity: float | None = SIMILARITY) -> DataFrame:
     """The rows of docs that stay, with all their columns: of each group of near-duplicates those of the smallest id, and those without an id.
 
     Only the ids that go are joined to the rows; they are sent to every executor if few, else shuffled.
     """
-    found = near_duplicates(docs, id_col, text_col, shingle, distance, run)
+    found = near_duplicates(docs, id_col, text_col, shingle, distance, run, similarity)
     gone = staged(found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("gone_id")).distinct(), "near-copies")
     few = gone.count() <= BROADCAST_ROWS
     return docs.join(F.broadcast(gone) if few else gone, docs[id_col] == gone["gone_id"], "left_anti")

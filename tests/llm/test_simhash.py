@@ -49,7 +49,7 @@ def test_fingerprints_and_components_against_brute_force(spark):
             near[rng.randrange(len(near))] = rng.choice(vocab)
             texts.append(" ".join(near).upper() if rng.random() < 0.3 else "\n".join(near))
     rows = [(i * 3, t, "x", 1, 2) for i, t in enumerate(texts)] + [(None, "a b", None, None, None), (0, None, None, None, None)]
-    out = simhash.near_duplicates(docs_of(spark, rows), shingle=3).collect()
+    out = simhash.near_duplicates(docs_of(spark, rows), shingle=3, similarity=None).collect()
     assert len(out) == len(rows)
     want = {i: brute_print(t) for i, t, *_ in rows if i is not None}
     comps = brute_components(list(want.items()))
@@ -99,6 +99,40 @@ def test_thresholds_obey_the_pigeonhole_sum():
         assert len({b for p in chosen.parts for b in p}) == sum(map(len, chosen.parts))
 
 
+def test_similar_texts_against_brute_force(spark):
+    rng = random.Random(11)
+    vocab = [f"w{i}" for i in range(500)]
+    texts = [None, "", "a b", "A  b"]
+    for _ in range(30):
+        base = [rng.choice(vocab) for _ in range(rng.randint(20, 200))]
+        texts.append(" ".join(base))
+        for _ in range(rng.randint(0, 3)):
+            near = list(base)
+            for _ in range(rng.randint(1, 6)):
+                near[rng.randrange(len(near))] = rng.choice(vocab)
+            texts.append(" ".join(near))
+
+    def grams(t):
+        w = (t or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+    sets = [grams(t) for t in texts]
+    want = {(i, j) for j in range(len(texts)) for i in range(j) if sets[i] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    from corpusmill.llm import similar
+    from corpusmill.llm.components import components
+
+    got = {(r.u, r.v) for r in similar.links(docs).collect()}
+    assert got <= want and len(got) >= 0.9 * len(want) > 10
+    linked = lambda pairs: {r.node: r.component for r in components(spark.createDataFrame(sorted(pairs), "u long, v long")).collect()}
+    assert linked(got) == linked(want)
+    named = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in enumerate(texts)], "doc_id long, text string, fingerprint string, fp long, rep long")
+    comps = {r.doc_id: r.component_id for r in simhash.near_duplicates(named).collect()}
+    assert all(comps[i] == comps[j] for i, j in want)
+    left = simhash.representatives(named)
+    assert left.columns == named.columns and {r.doc_id for r in left.collect()} == {i for i, c in comps.items() if i == c}
+
+
 def test_empty_table(spark):
     assert simhash.near_duplicates(docs_of(spark, [])).collect() == []
 
