@@ -204,7 +204,8 @@ def spans(rows: DataFrame, kind: Kind, together: int = TOGETHER) -> DataFrame:
     found = run_rows(rows, kind)
     anchors = found.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("c").alias("c1"), F.max("c").alias("c2"), F.min("id").alias("first"), F.max("id").alias("last"))
     shared = anchors.filter(F.col("first") < F.col("last") if kind.earlier else F.col("k") > 1).select("h", "first", (F.col("c1") == F.col("c2")).alias("one"))
-    shared = staged(found.join(shared, "h"), "shared-runs")
+    # As a table of its own: a join of two shuffles, of which Spark splits the partition of an anchor that very many runs have.
+    shared = staged(found.join(staged(shared, "shared-anchors"), "h"), "shared-runs")
     whole = ("id", "dg", F.col("lo").alias("start"), (F.col("lo") + F.col("n") + kind.length).alias("end"))
     simple = shared.filter(F.col("one") & (F.col("id") > F.col("first") if kind.earlier else F.lit(True))).select(*whole)
 
