@@ -75,8 +75,20 @@ def _per_words(text: Column, plain: Column, of_array) -> Column:
     return F.when(is_cjk(text), of_array(cjk_words(text))).otherwise(plain)
 
 
+# White space and symbols below U+0250, as plain ranges, which are quicker to match than classes by property.
+LATIN_SPACE = r"\x09-\x0D\x1C-\x20\x85\xA0"
+LATIN_SYMBOL = r"\x00-\x08\x0E-\x1B!-/:-@\[-`{-\x7F\xA1-\xA9\xAB\xAC\xAE-\xB1\xB4\xB6-\xB8\xBB\xBF\xD7\xF7"
+
+
+def _by_script(text: Column, pattern: str, symbol: str, body) -> Column:
+    """body of the pattern with its {s} and {p}, white space and symbols, put in: by plain ranges for texts of Latin letters, else by all of Unicode."""
+    put = lambda space, marks: pattern.replace("{s}", space).replace("{p}", marks)
+    latin = (F.length(text) == F.octet_length(text)) | ~F.regexp_like(text, F.lit(r"[^\x00-\u024F]"))
+    return F.when(latin, body(put(LATIN_SPACE, LATIN_SYMBOL))).otherwise(body(put(SPACE, symbol)))
+
+
 def n_words(text: Column) -> Column:
-    return _per_words(text, count(text, rf"[^{SPACE}]+"), F.size)
+    return _per_words(text, _by_script(text, "[^{s}]+", "", lambda p: count(text, p)), F.size)
 
 
 def _real(w: Column) -> Column:
@@ -85,12 +97,13 @@ def _real(w: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Words that are more than symbols."""
-    return _per_words(text, count(text, rf"(?<![^{SPACE}])[{SYMBOL}&&[^{SPACE}]]*+[^{SPACE}]+"), lambda a: F.size(F.filter(a, _real)))
+    plain = _by_script(text, "(?<![^{s}])[{p}]*+[^{s}]+", rf"{SYMBOL}&&[^{SPACE}]", lambda p: count(text, p))
+    return _per_words(text, plain, lambda a: F.size(F.filter(a, _real)))
 
 
 def word_chars(text: Column) -> Column:
     """Characters of those words."""
-    plain = F.length(F.regexp_replace(text, rf"(?<![^{SPACE}])[{SYMBOL}&&[^{SPACE}]]++(?![^{SPACE}])|[{SPACE}]+", ""))
+    plain = _by_script(text, "(?<![^{s}])[{p}]++(?![^{s}])|[{s}]+", rf"{SYMBOL}&&[^{SPACE}]", lambda p: F.length(F.regexp_replace(text, p, "")))
     return _per_words(text, plain, lambda a: F.aggregate(F.filter(a, _real), F.lit(0), lambda n, w: n + F.length(w)))
 
 
@@ -116,18 +129,29 @@ def ellipsis_ratio(text: Column) -> Column:
 
 
 def stop_words(text: Column, stops: tuple[str, ...] = STOP_WORDS) -> Column:
-    """How many of the stop words occur, whatever their number."""
-    hits = [F.regexp_like(text, F.lit(rf"(?<![^{SPACE}]){w}(?![^{SPACE}])")).cast("int") for w in stops]
-    out = hits[0]
-    for h in hits[1:]:
-        out = out + h
-    return _per_words(text, out, lambda a: F.size(F.array_intersect(a, F.array(*map(F.lit, stops)))))
+    """How many of the stop words occur, whatever their number: searched between blanks in the text with all white space made blanks."""
+    def found(t: Column) -> Column:
+        out = F.lit(0)
+        for w in stops:
+            out = out + t.contains(f" {w} ").cast("int")
+        return out
+
+    blanks = F.concat(F.lit(" "), F.regexp_replace(text, _blank_class(), " "), F.lit(" "))
+    return _per_words(text, let(blanks, found), lambda a: F.size(F.array_intersect(a, F.array(*map(F.lit, stops)))))
+
+
+def _blank_class() -> str:
+    """White space other than the blank itself."""
+    return r"[\x09-\x0D\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 
 
 def lines(text: Column) -> Column:
     """Lines at any line break; a break at the end begins no line."""
-    parts = F.split(text, LINE_BREAK)
-    return F.when(text == "", F.array().cast("array<string>")).when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
+    def of(parts: Column) -> Column:
+        whole = F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
+        return F.when((F.size(parts) == 1) & (F.element_at(parts, 1) == ""), F.array().cast("array<string>")).otherwise(whole)
+
+    return let(F.split(text, LINE_BREAK), of)
 
 
 def share(items: Column, holds) -> Column:
@@ -135,11 +159,11 @@ def share(items: Column, holds) -> Column:
 
 
 def bullet_lines_ratio(text: Column) -> Column:
-    return share(lines(text), lambda x: F.regexp_like(x, F.lit(rf"^[{SPACE}]*[•-]")))
+    return let(lines(text), lambda a: share(a, lambda x: F.regexp_like(x, F.lit(rf"^[{SPACE}]*[•-]"))))
 
 
 def ellipsis_lines_ratio(text: Column) -> Column:
-    return share(lines(text), lambda x: F.regexp_like(x, F.lit(rf"(?:\.\.\.|…)[{SPACE}]*$")))
+    return let(lines(text), lambda a: share(a, lambda x: F.regexp_like(x, F.lit(rf"(?:\.\.\.|…)[{SPACE}]*$"))))
 
 
 def punct_lines_ratio(text: Column) -> Column:

@@ -14,7 +14,8 @@ from .rules import Filter
 def rule_hits(judged: DataFrame, by: list[str] | None = None, failures: str = "failures") -> DataFrame:
     """(by, filter, rule, failed): rows that each rule fails."""
     keys = by or []
-    return judged.select(*keys, F.explode(failures).alias("f")).groupBy(*keys, F.col("f.filter").alias("filter"), F.col("f.rule").alias("rule")).agg(F.count(F.lit(1)).alias("failed"))
+    # explode_outer: a filter on the array would be pushed below it and work out all rules a second time.
+    return judged.select(*keys, F.explode_outer(failures).alias("f")).filter("f is not null").groupBy(*keys, F.col("f.filter").alias("filter"), F.col("f.rule").alias("rule")).agg(F.count(F.lit(1)).alias("failed"))
 
 
 def rule_rates(judged: DataFrame, filters: list[Filter], dataset: str = "dataset", failures: str = "failures") -> DataFrame:
