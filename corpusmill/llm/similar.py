@@ -1,13 +1,18 @@
 """Links between texts whose sets of word shingles have a Jaccard similarity of at least a threshold.
 
 64-bit fingerprints can't tell such pairs: at a similarity of 0.8 they differ in about ten bits, and looking within so many bits would
-compare a fixed share of all pairs. So candidates come from MinHash bands, and are verified on the shingle sets themselves. A text is
-compared with three of those that share a band value with it, those of smallest, largest and first id in a random-looking order, which
-are aggregates: the number of pairs goes with the number of texts, however many share a value.
+compare a fixed share of all pairs. So candidates come from MinHash bands, and are verified on the shingle sets themselves. Equal sets
+are one; all pairs of distinct sets that share a band value are decided.
+
+Values that few sets share have their pairs compared one by one. The sets of fuller values are first compared with three of them, of
+smallest and largest id and the one whose band values are the most common, as an original's are among its copies. What that leaves in
+different components is compared in full, in blocks of bounded size: each pair of blocks is one product of matrices, and gives no more
+links than it has texts. Only the texts outside a value's largest component take part in that, each with all others.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,12 +21,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytes_np as B
+from .components import components
 from .shared import importable, staged
 
 #: Bands and values of a band. Two texts of similarity s share a band with chance 1 - (1 - s ** ROWS) ** BANDS: 0.9998 at 0.8.
 BANDS, ROWS = 16, 4
 #: Candidates' ids up to which they are sent to every executor (16 MB at most); more are shuffled.
 BROADCAST_ROWS = 1_000_000
+#: Sets that share a band value and are compared pair by pair, at most.
+RUN = 16
+#: Texts and shingles of a block, about, and shingles that are columns of one product.
+BLOCK_ROWS, BLOCK_GRAMS, COLUMNS = 512, 200_000, 512
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -65,12 +75,18 @@ def _bands(docs: DataFrame, n: int) -> DataFrame:
         for batch in batches:
             for i, j, data, at in B.chunks(batch.column(1)):
                 h, row = shingles(data, at, n)
-                some = np.unique(row)
+                some, first = np.unique(row, return_index=True)
+                sizes, digests = [], []
+                for a, b in zip(first, [*first[1:], len(h)], strict=True):
+                    grams = np.unique(h[a:b])
+                    sizes.append(len(grams))
+                    digests.append(hashlib.blake2b(grams, digest_size=16).digest())
+                size, digest = pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())
                 keys = band_keys(h, row, j - i)[some].view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)), pa.array(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i).take(pa.array(some)), lists], ["id", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i).take(pa.array(some)), size, digest, lists], ["id", "n", "digest", "keys"])
 
-    return docs.mapInArrow(run, "id long, keys array<long>")
+    return docs.mapInArrow(run, "id long, n long, digest binary, keys array<long>")
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
@@ -86,19 +102,8 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, grams binary")
 
 
-def links(docs: DataFrame, threshold: float = 0.8, shingle: int = 5) -> DataFrame:
-    """(u, v) of ids of docs (id, text) with ids, u < v, whose similarity is at least the threshold."""
-    importable(docs.sparkSession)
-    bands = staged(_bands(docs, shingle), "bands")
-    rows = bands.select("id", F.posexplode("keys").alias("band", "key"))
-    ends = rows.groupBy("band", "key").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.min(F.struct(F.xxhash64("id").alias("h"), "id")).alias("c"))
-    ends = ends.filter("a < b").select("band", "key", F.array("a", "b", "c.id").alias("ends"))
-    pairs = rows.join(ends, ["band", "key"]).select("id", F.explode("ends").alias("other")).filter("id <> other")
-    pairs = staged(pairs.select(F.least("id", "other").alias("u"), F.greatest("id", "other").alias("v")).distinct(), "pairs")
-    asked = staged(pairs.select(F.col("u").alias("asked")).union(pairs.select("v")).distinct(), "asked")
-    few = asked.count() <= BROADCAST_ROWS
-    sets = staged(_sets(docs.join(F.broadcast(asked) if few else asked, docs["id"] == asked["asked"], "left_semi"), shingle), "sets")
-    joined = pairs.join(sets.select(F.col("id").alias("u"), F.col("grams").alias("p")), "u").join(sets.select(F.col("id").alias("v"), F.col("grams").alias("q")), "v").select("u", "v", "p", "q")
+def _verified(joined: DataFrame, threshold: float) -> DataFrame:
+    """(u, v) of the rows (u, v, p, q) whose sets p and q are that similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,3 +119,116 @@ def links(docs: DataFrame, threshold: float = 0.8, shingle: int = 5) -> DataFram
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["u", "v"]).filter(pa.array(good, pa.bool_()))
 
     return joined.mapInArrow(run, "u long, v long")
+
+
+def _common(row: np.ndarray, grams: np.ndarray, left: np.ndarray, right: np.ndarray, n_rows: int) -> np.ndarray:
+    """How many grams each row of left has in common with each of right. Grams of one row only don't count, the others are columns of a product."""
+    _, column, count = np.unique(grams, return_inverse=True, return_counts=True)
+    some = count[column] > 1
+    row, column = row[some], (np.cumsum(count > 1) - 1)[column[some]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, (low, low + COLUMNS))
+        has = np.zeros((n_rows, min(COLUMNS, int(column[b - 1]) + 1 - low)), dtype=np.float32)
+        has[row[a:b], column[a:b] - low] = 1
+        out += has[left] @ has[right].T
+    return out
+
+
+def _forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the marked pairs (row, column), enough to connect all that they connect; no more than rows and columns together."""
+    free = [np.ones(near.shape[0], dtype=bool), np.ones(near.shape[1], dtype=bool)]
+    rows, columns = [], []
+    for start in np.flatnonzero(near.any(axis=1)):
+        if not free[0][start]:
+            continue
+        free[0][start], todo = False, [(0, start)]
+        while todo:
+            side, x = todo.pop()
+            found = np.flatnonzero((near[:, x] if side else near[x]) & free[1 - side])
+            free[1 - side][found] = False
+            mine = np.full(len(found), x)
+            rows.append(found if side else mine)
+            columns.append(mine if side else found)
+            todo += [(1 - side, y) for y in found]
+    return tuple(np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (rows, columns))
+
+
+def _across(cells: DataFrame, threshold: float) -> DataFrame:
+    """Links (u, v) between the two blocks of each cell, or within its only one, that connect texts of different components."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids, comp, own, i, j = (table[c].to_numpy() for c in ("id", "comp", "own", "i", "j"))
+        left, right = np.flatnonzero(own == i[0]), np.flatnonzero(own == j[0])
+        sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in table["grams"]]
+        size = np.array([len(s) for s in sets])
+        common = _common(np.repeat(np.arange(len(sets)), size), np.concatenate(sets), left, right, len(sets)).astype(np.float64)
+        near = common >= threshold * (size[left][:, None] + size[right] - common) - 1e-9
+        near &= (ids[left][:, None] != ids[right]) & (comp[left][:, None] != comp[right])
+        a, b = _forest(near)
+        return pa.table({"u": ids[left[a]], "v": ids[right[b]]})
+
+    return cells.groupBy("band", "key", "i", "j").applyInArrow(run, "u long, v long")
+
+
+def _cells(crowd: DataFrame) -> DataFrame:
+    """(band, key, i, j, own, id, comp): the rows of crowd (band, key, id, n, comp, members, mark) in every cell of blocks that they are compared in.
+
+    A band value whose texts are of one component has none, and of values with the same texts one has. The largest component of a value
+    needs no comparison with itself: its blocks, which come after those of the others, meet only theirs.
+    """
+    parts = crowd.groupBy("band", "key", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("g"), F.first("members").alias("members"), F.first("mark").alias("mark"))
+    whole = parts.groupBy("band", "key").agg(F.max(F.struct("c", "comp", "g")).alias("main"), F.sum("c").alias("c"), F.sum("g").alias("g"), F.first("members").alias("members"), F.first("mark").alias("mark"))
+    whole = whole.filter(F.col("c") > F.col("main.c")).groupBy("members", "mark").agg(F.min(F.struct("band", "key", "main", "c", "g")).alias("x")).select("x.*")
+
+    def blocks(c, g):
+        return F.ceil(F.greatest(c / BLOCK_ROWS, g / BLOCK_GRAMS))
+
+    rest, main = blocks(F.col("c") - F.col("main.c"), F.col("g") - F.col("main.g")), blocks(F.col("main.c"), F.col("main.g"))
+    plans = whole.select("band", "key", F.col("main.comp").alias("largest"), rest.alias("rest"), main.alias("main"))
+    rows = crowd.select("band", "key", "id", "comp").join(plans, ["band", "key"])
+    inside, salt = F.col("comp") == F.col("largest"), F.xxhash64("id")
+    rows = rows.withColumn("own", F.when(inside, F.col("rest") + F.pmod(salt, "main")).otherwise(F.pmod(salt, "rest")))
+    last = F.when(inside, F.col("rest")).otherwise(F.col("rest") + F.col("main")) - 1
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    return rows.select("band", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "comp")
+
+
+def links(docs: DataFrame, threshold: float = 0.8, shingle: int = 5) -> DataFrame:
+    """(u, v) of ids of docs (id, text) with ids whose similarity is at least the threshold, enough to connect all such pairs that share a band value.
+
+    They are all these pairs, u < v, but for texts of equal sets, which hang on the smallest id, and for band values of over ``RUN`` sets.
+    """
+    importable(docs.sparkSession)
+    bands = staged(_bands(docs, shingle), "bands")
+    distinct = staged(bands.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys")), "distinct-sets")
+    copies = bands.join(distinct.select("digest", F.col("id").alias("u")), "digest").filter("id <> u").select("u", F.col("id").alias("v")).distinct()
+    rows = distinct.select("id", "n", F.posexplode("keys").alias("band", "key"))
+    shared = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("a"), F.max("id").alias("b"), F.bit_xor(F.xxhash64("id")).alias("mark"))
+    rows = staged(rows.join(shared.filter("members > 1"), ["band", "key"]), "shared-bands")
+    calm, crowd = rows.filter(F.col("members") <= RUN).select("band", "key", "id"), rows.filter(F.col("members") > RUN)
+    pairs = calm.join(calm.select("band", "key", F.col("id").alias("other")), ["band", "key"]).filter("id < other").select("id", "other")
+    crowded = not crowd.isEmpty()
+    if crowded:
+        common = rows.groupBy("id").agg(F.sum("members").alias("common"))
+        best = crowd.join(common, "id").groupBy("band", "key").agg(F.max(F.struct("common", "id")).getField("id").alias("c"))
+        ends = crowd.join(best, ["band", "key"]).select("id", F.explode(F.array("a", "b", "c")).alias("other"))
+        pairs = pairs.union(ends.filter("id <> other"))
+    pairs = staged(pairs.select(F.least("id", "other").alias("u"), F.greatest("id", "other").alias("v")).distinct(), "pairs")
+    asked = staged(pairs.select(F.col("u").alias("asked")).union(pairs.select("v")).distinct(), "asked")
+    few = asked.count() <= BROADCAST_ROWS
+    texts = docs.join(F.broadcast(asked) if few else asked, docs["id"] == asked["asked"], "left_semi").distinct()
+    sets = staged(_sets(texts, shingle), "sets")
+    joined = pairs.join(sets.select(F.col("id").alias("u"), F.col("grams").alias("p")), "u").join(sets.select(F.col("id").alias("v"), F.col("grams").alias("q")), "v").select("u", "v", "p", "q")
+    found = _verified(joined, threshold)
+    if crowded:
+        found = staged(found, "similar")
+        comps = components(found.union(copies))
+        crowd = crowd.join(comps, crowd["id"] == comps["node"], "left").withColumn("comp", F.coalesce("component", "id"))
+        cells = staged(_cells(crowd.select("band", "key", "id", "n", "comp", "members", "mark")), "cells")
+        if not cells.isEmpty():
+            found = found.union(_across(cells.join(sets, "id"), threshold))
+    return found.union(copies)

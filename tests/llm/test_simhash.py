@@ -133,6 +133,63 @@ def test_similar_texts_against_brute_force(spark):
     assert left.columns == named.columns and {r.doc_id for r in left.collect()} == {i for i, c in comps.items() if i == c}
 
 
+def grams_of(t, n=5):
+    w = t.lower().split()
+    return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+
+
+def edited(rng, words, edits):
+    out = list(words)
+    for k in rng.sample(range(len(out) // 10), edits):
+        out[10 * k + rng.randrange(5)] = f"e{rng.getrandbits(40)}"
+    return out
+
+
+def test_original_of_middle_id_and_its_copies(spark):
+    from corpusmill.llm import similar
+    from corpusmill.llm.components import components
+
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(400)]
+    texts = [" ".join(edited(rng, base, 8)) for _ in range(300)]
+    texts.insert(150, " ".join(base))
+    texts.append(texts[7].upper())
+    sets = [grams_of(t) for t in texts]
+    near = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    assert all(near(sets[150], s) for s in sets) and sum(near(a, b) for a in sets[:20] for b in sets[20:40]) < 40
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = components(similar.links(docs)).collect()
+    assert {r.node for r in got} == set(range(1, len(texts))) and {r.component for r in got} == {0}
+
+
+def test_crowded_bands_against_brute_force(spark, monkeypatch):
+    from corpusmill.llm import similar
+    from corpusmill.llm.components import components
+
+    monkeypatch.setattr(similar, "RUN", 2)
+    monkeypatch.setattr(similar, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(similar, "COLUMNS", 64)
+    rng = random.Random(6)
+    texts = []
+    for g in range(2):
+        base = [f"g{g}w{i}" for i in range(300)]
+        layers = [[base]]
+        for _ in range(4):
+            layers.append([edited(rng, rng.choice(layers[-1]), rng.randint(3, 7)) for _ in range(15)])
+        texts += [" ".join(w) for layer in layers for w in layer]
+    rng.shuffle(texts)
+    sets = [grams_of(t) for t in texts]
+    want = [(i, j) for j in range(len(texts)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    across = []
+    whole = similar._across
+    monkeypatch.setattr(similar, "_across", lambda cells, t: across.append(whole(cells, t)) or across[-1])
+    got = {(r.u, r.v) for r in similar.links(docs).collect()}
+    assert {tuple(sorted(x)) for x in got} <= set(want) and across[0].count() > 0
+    linked = lambda pairs: {r.node: r.component for r in components(spark.createDataFrame(sorted(pairs), "u long, v long")).collect()}
+    assert linked(got) == linked(want)
+
+
 def test_empty_table(spark):
     assert simhash.near_duplicates(docs_of(spark, [])).collect() == []
 
