@@ -3,7 +3,8 @@
 Slots are numbered 0, 1, 2, ...; slot j is the point frac(j * golden ratio), taken as the exact lattice j * F45 mod F46 of two Fibonacci
 numbers. The cumulative targets cut [0, 1) into one interval per source, and a slot belongs to the source whose interval has its point,
 so that every stretch of the schedule holds each source in proportion. A source's slots are ranked, and its r-th slot takes the r-th
-block of equal size of its shuffled token stream, which goes round at most ``max_epochs`` times.
+block of equal size of its shuffled token stream, which goes round at most ``max_epochs`` times. A source of few blocks, for which a slot
+more or less is much, has no interval: it takes its target to the word, in blocks spread evenly over the schedule, the last one cut.
 
 Nothing is grouped by source alone, as one source may hold most rows: positions in a stream and ranks of slots come from two-level
 prefix sums over buckets, and slots find their source by an equi-join on cells of [0, 1).
@@ -24,6 +25,8 @@ FIB_45, FIB_46 = 1134903170, 1836311903
 BUCKET_ROWS, CHUNK_SLOTS = 20_000, 20_000
 #: Slots of a source on the average, and words of a block at least.
 SLOTS, LEAST_BLOCK = 4000, 32
+#: Blocks of a source's target up to which it is taken to the word.
+FEW_BLOCKS = 64
 #: More slots than the lattice can give an interval beyond its share: twice 3 + log of F46 to the base of the golden ratio.
 DISCREPANCY = 128
 
@@ -80,12 +83,20 @@ def _stream(docs: DataFrame, n_buckets: int, seed: int) -> DataFrame:
     return joined.withColumn("start", F.col("offset") + F.col("inner")).drop("s", "b", "offset", "inner", "digest")
 
 
-def _slots(targets: DataFrame, n_slots: int, n_sources: int) -> DataFrame:
-    """(source, slot, rank) of every slot."""
+def _limit(block_words: int) -> Column:
+    """The words that a source of few blocks takes, of its target; null for others."""
+    return F.when(F.col("target") < FEW_BLOCKS * block_words, F.round("target").cast("long"))
+
+
+def _slots(targets: DataFrame, n_slots: int, n_sources: int, block_words: int) -> DataFrame:
+    """(source, slot, rank) of every slot. Those of sources of few blocks share their numbers with others."""
+    targets = targets.withColumn("limit", _limit(block_words))
+    even = targets.filter("limit > 0").withColumn("n", F.ceil(F.col("limit") / block_words)).withColumn("rank", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    even = even.select("source", F.floor((2 * F.col("rank") + 1) * n_slots / (2 * F.col("n"))).alias("slot"), "rank")
     spark = targets.sparkSession
     cells = max(1024, 4 * n_sources)
     first, last = F.floor(F.col("low") * cells), F.least(F.floor(F.col("high") * cells), F.lit(cells - 1))
-    held = targets.filter("high > low").select("source", "low", "high", F.explode(F.sequence(first, last)).alias("cell"))
+    held = targets.filter("high > low and limit is null").select("source", "low", "high", F.explode(F.sequence(first, last)).alias("cell"))
     points = spark.range(n_slots).select(F.col("id").alias("slot"), (F.col("id") % FIB_46 * FIB_45 % FIB_46).alias("lattice"))
     points = points.withColumn("u", F.col("lattice").cast("double") / FIB_46)
     slots = points.withColumn("cell", F.floor(F.col("u") * cells)).join(held, "cell").filter("u >= low and u < high")
@@ -95,7 +106,7 @@ def _slots(targets: DataFrame, n_slots: int, n_sources: int) -> DataFrame:
     offsets = per.select(F.col("source").alias("s"), F.col("chunk").alias("c"), F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("offset"))
     slots = slots.withColumn("inner", F.row_number().over(Window.partitionBy("source", "chunk").orderBy("slot")) - 1)
     slots = slots.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("chunk") == F.col("c")))
-    return slots.select("source", "slot", (F.col("offset") + F.col("inner")).alias("rank"))
+    return slots.select("source", "slot", (F.col("offset") + F.col("inner")).alias("rank")).union(even)
 
 
 def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (3, 1, 2), total: float = 1.5, max_epochs: int = 2, block_words: int | None = None, seed: int = 0) -> Mix:
@@ -103,8 +114,8 @@ def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
     docs of the result: (id, source, size, source_size, target, bucket, seq, start); (source, bucket, seq) tells rows apart even where ids
     repeat. pieces: (source, bucket, seq, slot, epoch, first, words): of that row, ``words`` words from word ``first`` on are taken by that
-    slot. A source gets its share of the slots, so it takes its target to within a few blocks, and never more than ``max_epochs`` times any
-    row. Null texts have no words; a null source is a source, the last one; null ids shuffle as the empty string. No rows, or no words at
+    slot. A source gets its share of the slots, so it takes its target to within a few blocks, to the word if that is under ``FEW_BLOCKS``
+    blocks, and never more than ``max_epochs`` times any row. Null texts have no words; a null source is a source, the last one; null ids shuffle as the empty string. No rows, or no words at
     all: nothing is taken. ``block_words`` bounds how far a source's words can be from its target and how many slots there are; without it
     a source has ``SLOTS`` slots on the average, and no block has fewer than ``LEAST_BLOCK`` words.
     """
@@ -117,7 +128,7 @@ def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     joined = rows.join(targets.select(F.col("source").alias("s"), "source_size", "target"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     block_words = block_words or max(LEAST_BLOCK, int(words) // (max(1, n_sources) * SLOTS))
     placed = staged(_stream(joined, 1 + n_rows // BUCKET_ROWS, seed), "stream")
-    slots = _slots(targets, int(-(-words // block_words)), n_sources)
+    slots = _slots(targets, int(-(-words // block_words)), n_sources, block_words)
 
     # The lattice gives an interval its share of the slots to within DISCREPANCY; later parts of a stream meet no slot.
     n_blocks = F.floor(F.col("target") / block_words) + DISCREPANCY
@@ -126,8 +137,8 @@ def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     turns = turns.withColumn("b", F.col("a") + F.col("size")).filter(F.floor(F.col("a") / block_words) < n_blocks)
     parts = turns.withColumn("rank", F.explode(F.sequence(F.floor(F.col("a") / block_words), F.floor((F.col("b") - 1) / block_words))))
     parts = parts.join(slots.withColumnRenamed("source", "s").withColumnRenamed("rank", "r"), F.col("source").eqNullSafe(F.col("s")) & (F.col("rank") == F.col("r")))
-    low, high = F.greatest("a", F.col("rank") * block_words), F.least("b", (F.col("rank") + 1) * block_words)
-    pieces = parts.select("source", "bucket", "seq", "slot", "epoch", (low - F.col("a")).alias("first"), (high - low).alias("words"))
+    low, high = F.greatest("a", F.col("rank") * block_words), F.least("b", (F.col("rank") + 1) * block_words, _limit(block_words))
+    pieces = parts.filter(low < high).select("source", "bucket", "seq", "slot", "epoch", (low - F.col("a")).alias("first"), (high - low).alias("words"))
     return Mix(placed, targets, pieces)
 
 

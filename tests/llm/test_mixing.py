@@ -72,6 +72,25 @@ def test_rows_of_the_mix(spark):
     assert got == {i: n for i, n in per.items() if n}
 
 
+def test_source_of_under_one_block(spark):
+    rows = [(i, "w " * 1000, "ab"[i % 2]) for i in range(520)] + [(600 + i, "x y", "small") for i in range(4)]
+    docs = docs_of(spark, rows)
+    out = [r for r in mixing.mixed(docs).collect() if r.doc_id >= 600]
+    assert [(r.size, r.target, r.taken) for r in out] == [(2, 16.0, 4)] * 4
+    assert sum(r.source == "small" for r in mixing.taken_rows(docs).collect()) == 8
+
+
+@pytest.mark.parametrize("block", [1, 8, 50, 300])
+def test_small_targets_are_taken_to_the_word(spark, block):
+    rows = [(i, "w " * (i % 50 + 1), "ab"[i % 2]) for i in range(400)]
+    weights, source_of = (200, 1), {i: s for i, _, s in rows}
+    want = targets({s: sum(size(t) for _, t, x in rows if x == s) for s in "ab"}, weights, total=0.6)
+    taken = {"a": 0, "b": 0}
+    for r in mixing.mixed(docs_of(spark, rows), weights=weights, total=0.6, block_words=block).collect():
+        taken[source_of[r.doc_id]] += r.taken
+    assert abs(taken["b"] - want["b"]) <= (0.5 if want["b"] < 64 * block else 3 * block) and abs(taken["a"] - want["a"]) <= 3 * block
+
+
 def test_nothing_to_mix(spark):
     assert mixing.mixed(docs_of(spark, [])).collect() == []
     assert [(r.size, r.target, r.taken) for r in mixing.mixed(docs_of(spark, [(1, None, "a"), (2, " ", None)])).collect()] == [(0, 0.0, 0)] * 2
