@@ -17,8 +17,10 @@ from .shared import staged
 
 #: Rules up to which they become one conditional expression; more are joined by the suffixes of hosts.
 INLINE_RULES = 256
-#: URLs that the trees are fitted on, at most: those of smallest digest.
+#: Rows that the trees are fitted on, at most: those of smallest digest, copies of a URL having their own.
 SAMPLE_ROWS = 20_000
+#: Copies of a URL that are numbered at a time.
+COPIES = 1000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -108,6 +110,16 @@ def suffix_statistics(labelled: DataFrame, prior: float = 20.0) -> DataFrame:
     return per.select("suffix", ((F.col("blocked") + prior * mean) / (F.col("n") + prior)).alias("suffix_rate"), (F.col("n") / F.lit(float(max(n, 1)))).alias("suffix_share"))
 
 
+def sampled(known: DataFrame, rows: int) -> DataFrame:
+    """Of known (url, host, path, y) the rows of smallest digest of the URL and the number of the copy, so that each row has the same chance."""
+    per = known.groupBy("url", "host", "path", "y").agg(F.count(F.lit(1)).alias("n"))
+    runs = per.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES))))
+    first = F.col("run") * COPIES
+    each = runs.withColumn("copy", F.explode(F.sequence(first, F.least(first + COPIES, "n") - 1)))
+    digest = F.md5(F.concat_ws(":", "copy", "y", F.coalesce("url", F.lit(""))))
+    return each.orderBy(digest, "url", "y", "copy").limit(rows).select("url", "host", "path", "y")
+
+
 @dataclass(frozen=True)
 class Split:
     feature: int
@@ -230,7 +242,7 @@ def judged(pages: DataFrame, rules: list[Rule], labelled: DataFrame | None = Non
     else:
         known = parsed(labelled.select("url", F.col("y").cast("double").alias("y")), F.col("y")).filter("y is not null")
     stats = staged(suffix_statistics(known.withColumn("suffix", F.regexp_extract("host", r"[^.]*$", 0))), "suffixes")
-    some = known.orderBy(F.md5(F.coalesce("url", F.lit(""))), "url", "y").limit(sample_rows)
+    some = sampled(known, sample_rows)
 
     def full(df: DataFrame) -> DataFrame:
         mean = F.lit(0.0)

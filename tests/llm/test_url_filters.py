@@ -65,3 +65,19 @@ def test_trees_on_held_out_urls(spark):
     pages = spark.createDataFrame([(i, u) for i, u, _ in test], "page_id long, url string")
     got = {r.page_id: r.verdict for r in U.judged(pages, [], labelled, n_trees=3).collect()}
     assert sum((got[i] == "block") == bool(y) for i, _, y in test) > 475
+
+
+def test_sample_is_not_crowded_by_one_url(spark):
+    import hashlib
+
+    digest = lambda u: hashlib.md5(u.encode()).hexdigest()
+    urls = sorted((f"http://h{i}.net/p{i}" for i in range(300)), key=digest)
+    rows = [(urls[0], 0.0)] * 1500 + [(u, 1.0) for u in urls[1:]] + [(u, 1.0) for u in urls[1:]]
+    labelled = spark.createDataFrame(rows, "url string, y double")
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls[:3])], "page_id long, url string")
+    out = U.judged(pages, [], labelled, sample_rows=500).collect()
+    assert all(1e-6 < r.score < 1 - 1e-6 for r in out)
+    known = labelled.selectExpr("url", "'' as host", "'' as path", "y")
+    some = U.sampled(known, 500).collect()
+    assert len(some) == 500 and 250 < sum(r.url == urls[0] for r in some) < 440
+    assert U.sampled(known, 9999).count() == len(rows)
