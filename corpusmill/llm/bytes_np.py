@@ -81,7 +81,10 @@ def _powers(n: int, base: int) -> np.ndarray:
 
 
 class Roller:
-    """Polynomial hashes of all substrings of an array, from prefix sums modulo 2 ** 64 over random values of its items."""
+    """Polynomial hashes of all substrings of an array, from prefix sums modulo 2 ** 64 over random values of its items.
+
+    For substrings of under 1,024 items, as all windows and contexts here are: longer ones can collide whatever their items.
+    """
 
     BASE = 0xD1342543DE82EF95
     _pow: np.ndarray = np.ones(1, dtype=np.uint64)
@@ -108,8 +111,39 @@ class Roller:
 
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word, of its bytes and length."""
-    return mix(Roller(data).of(start, end) + (end - start).astype(np.uint64) * _MULT)
+    """XXH64 of each word. Polynomial hashes modulo 2 ** 64 won't do: some pairs of words of 1,024 bytes collide whatever the base."""
+    return xxh64(data, start, end - start, seed=0)
+
+
+def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether data[a : a + size] and data[b : b + size] are equal, for every triple."""
+    out = np.ones(len(a), dtype=bool)
+    if not len(a):
+        return out
+    eight, low, blob = lanes(data, 8), np.minimum(size, 8), None
+    mask = np.where(low == 8, np.uint64(0xFFFFFFFFFFFFFFFF), (np.uint64(1) << (8 * low % 64).astype(np.uint64)) - np.uint64(1))
+    out &= ((eight[a] ^ eight[b]) & mask) == 0
+    some = np.flatnonzero((size > 8) & out)
+    tail = size[some] - 8
+    out[some] &= eight[a[some] + tail] == eight[b[some] + tail]
+    for i in np.flatnonzero((size > 16) & out):
+        blob = blob or memoryview(np.ascontiguousarray(data))
+        out[i] = blob[a[i] : a[i] + size[i]] == blob[b[i] : b[i] + size[i]]
+    return out
+
+
+def word_ids(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A number for each word of a chunk; numbers are equal exactly where words are: hashes, checked on the bytes of words that share one."""
+    h, size = word_hashes(data, start, end), end - start
+    order = np.argsort(h, kind="stable")
+    a, b = order[:-1], order[1:]
+    twice = h[a] == h[b]
+    a, b = a[twice], b[twice]
+    # Most repeats are of the word before in the order, so one look at each neighbour is enough.
+    if ((size[a] != size[b]) | ~same_bytes(data, start[a], start[b], np.minimum(size[a], size[b]))).any():
+        blob, seen = data.tobytes(), {}
+        return np.array([seen.setdefault(blob[i:j], len(seen)) for i, j in zip(start.tolist(), end.tolist(), strict=True)], dtype=np.uint64)
+    return h
 
 
 def lanes(data: np.ndarray, size: int) -> np.ndarray:

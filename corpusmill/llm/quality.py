@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from . import bytes_np as B
-from .shared import importable
+from .shared import importable, unused
 
 #: Labelled rows that the list is fitted on, at most: those of smallest digest of their id.
 LABELLED_ROWS = 10_000
@@ -35,7 +35,7 @@ def stats_of(data: np.ndarray, at: np.ndarray) -> np.ndarray:
 
     word_chars: code points in words; n_symbols: characters of #*$%&|<>; n_dup_lines: lines with a word that equal an earlier line of
     the text; n_repeat_words: words in windows of three words found twice or more in the text; n_lines: lines with a word; n_upper: A-Z;
-    n_marks: ! and ?. Lines and windows are compared by 64-bit hashes.
+    n_marks: ! and ?. Lines, words and windows are compared exactly.
     """
     n = len(at) - 1
     start, end, first = B.words(data, at)
@@ -45,15 +45,6 @@ def stats_of(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     def count(flags: np.ndarray) -> np.ndarray:
         return np.bincount(np.searchsorted(at, np.flatnonzero(flags), "right") - 1, minlength=n)
 
-    def repeated(key: np.ndarray) -> np.ndarray:
-        order = np.argsort(key, kind="stable")
-        same = key[order[1:]] == key[order[:-1]]
-        later = np.zeros(len(key), dtype=bool)
-        later[order[1:][same]] = True
-        either = later.copy()
-        either[order[:-1][same]] = True
-        return np.stack([later, either])
-
     out[0] = np.diff(first)
     inside = ~B.SPACE[data]
     letters = np.r_[0, np.cumsum(inside & ((data & 0xC0) != 0x80))]
@@ -67,22 +58,41 @@ def stats_of(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     close, _ = _by_row(np.r_[feeds, at[1:]], np.r_[of_feed, np.arange(n)])
     full = np.searchsorted(start, close) > np.searchsorted(start, begin)
     begin, close, begin_row = begin[full], close[full], begin_row[full]
-    roll = B.Roller(data)
-    key = B.mix(roll.of(begin, close) + (close - begin).astype(np.uint64)) ^ B.mix(begin_row.astype(np.uint64))
-    out[3] = np.bincount(begin_row[repeated(key)[0]], minlength=n)
+    blob, last, seen = data.tobytes(), -1, set()
+    for r, i, j in zip(begin_row.tolist(), begin.tolist(), close.tolist(), strict=True):
+        if r != last:
+            last, seen = r, set()
+        line = blob[i:j]
+        if line in seen:
+            out[3, r] += 1
+        else:
+            seen.add(line)
     out[5] = np.bincount(begin_row, minlength=n)
     if len(start) >= 3:
-        h = B.mix(roll.of(start, end) + (end - start).astype(np.uint64))
-        key = B.mix(h[:-2] * np.uint64(3) + B.mix(h[1:-1] * np.uint64(5) + B.mix(h[2:])))
-        ok = np.flatnonzero(row[:-2] == row[2:])
-        twice = ok[repeated(key[ok] ^ B.mix(row[ok].astype(np.uint64)))[1]]
         hit = np.zeros(len(start) + 3, dtype=bool)
+        twice = _repeated_windows(B.word_ids(data, start, end), row)
         for k in range(3):
             hit[twice + k] = True
         out[4] = np.bincount(row[hit[: len(start)]], minlength=n)
     return out
 
 
+def _repeated_windows(word: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Starts of the windows of three words that are found twice or more in their row."""
+    ok = np.flatnonzero(row[:-2] == row[2:])
+    key = B.mix(word[:-2] * np.uint64(3) + B.mix(word[1:-1] * np.uint64(5) + B.mix(word[2:])))[ok] ^ B.mix(row[ok].astype(np.uint64))
+    order = np.argsort(key, kind="stable")
+    a, b = ok[order[:-1]], ok[order[1:]]
+    same = key[order[:-1]] == key[order[1:]]
+    a, b = a[same], b[same]
+    if (row[a] != row[b]).any() or any((word[a + k] != word[b + k]).any() for k in range(3)):  # a hash that two windows share
+        windows: dict[tuple, list[int]] = {}
+        for i in ok.tolist():
+            windows.setdefault((row[i], *word[i : i + 3].tolist()), []).append(i)
+        return np.array([i for found in windows.values() if len(found) > 1 for i in found], dtype=np.int64)
+    return np.unique(np.r_[a, b])
+
+
 def _by_row(places: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(row, kind="stable")
     return places[order], row[order]
@@ -170,6 +180,16 @@ def _best_test(x: np.ndarray, bad: np.ndarray) -> tuple[float, Test] | None:
     return best
 
 
+def simplified(rule: Rule) -> Rule:
+    """The rule with one test for each side of a feature, the narrowest."""
+    kept: dict[tuple[int, bool], Test] = {}
+    for t in rule:
+        other = kept.get((t.feature, t.above))
+        if other is None or (t.threshold > other.threshold) == t.above:
+            kept[t.feature, t.above] = t
+    return tuple(kept.values())
+
+
 def learn(x: np.ndarray, bad: np.ndarray, max_rules: int = 12, max_tests: int = 4, precision: float = 0.95, least: int = 3, tries: int = 10, seed: int = 0) -> list[Rule]:
     """An ordered list of rules for the bad class. ``precision`` is what a rule needs on rows it wasn't grown on, ``least`` how many it must cover.
 
@@ -204,7 +224,7 @@ def learn(x: np.ndarray, bad: np.ndarray, max_rules: int = 12, max_tests: int =
         hits = _covers(rule, x) if rule else np.zeros(len(x), dtype=bool)
         if not rule or hits.sum() < least or (bad & hits).sum() < precision * hits.sum() or (hit.any() and (pb & hit).sum() < precision * hit.sum()):
             continue
-        rules.append(rule)
+        rules.append(simplified(rule))
         failed = 0
         x, bad = x[~hits], bad[~hits]
     return rules
@@ -221,19 +241,45 @@ def compiled(rules: list[Rule], prefix: str = "") -> Column:
     return F.lit(0) if out is None else out.otherwise(F.lit(0))
 
 
-def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", labelled_rows: int = LABELLED_ROWS, **options) -> list[Rule]:
-    """Rules learned from labels (id, quality 0 or 1) of at most ``labelled_rows`` labelled rows of docs; without labels, none.
+#: Digests are cut to this many values.
+DIGESTS = 1 << 32
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", labelled_rows: int = LABELLED_ROWS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features, bad, digest) of at most ``labelled_rows`` labelled ids, those of smallest digest.
 
-    The sample's ids go to every executor: it is bounded. Rows without an id or a label don't count; an id labelled twice counts twice.
+    A bound on the digest, which follows from the number of labels, leaves little more than the sample before it is sorted. Rows without
+    an id or a label don't count; labels that say the same of an id count once, and of documents that share an id the one of least counts.
+    The sample's ids go to every executor: it is bounded.
     """
-    some = labels.filter(F.col(id_col).isNotNull() & F.col("quality").isNotNull()).select(F.col(id_col).alias("label_id"), (F.col("quality") == 0).alias("bad"))
-    some = some.orderBy(F.md5(F.col("label_id").cast("string")), "label_id", "bad").limit(labelled_rows)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(some), F.col("id") == F.col("label_id"))
-    found = with_stats(rows.select("id", "bad", "text")).select("id", "bad", *COUNTS).orderBy("id", "bad").limit(2 * labelled_rows).collect()
-    if not found:
-        return []
-    table = {c: np.array([r[c] for r in found]) for c in COUNTS}
-    return learn(features(table), np.array([r["bad"] for r in found]), **options)
+    named = labels.filter(F.col(id_col).isNotNull() & F.col("quality").isNotNull()).select(F.col(id_col).cast("long").alias("label_id"), (F.col("quality") == 0).alias("bad")).distinct()
+    n = named.count()
+    digest = F.conv(F.substring(F.md5(F.col("label_id").cast("string")), 1, 8), 16, 10).cast("long")
+    bound = DIGESTS * (labelled_rows + 6 * math.sqrt(labelled_rows) + 10) / max(n, 1)
+    some = named.withColumn("digest", digest).filter(F.col("digest") < F.lit(int(min(bound, DIGESTS)))).orderBy("digest", "label_id", "bad").limit(labelled_rows)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(some), F.col("id") == F.col("label_id"))
+    counted = with_stats(rows.select("id", "bad", "digest", "text"))
+    found = counted.groupBy("digest", "id", "bad").agg(F.min(F.struct(*COUNTS)).alias("x")).orderBy("digest", "id", "bad").collect()
+    table = {c: np.array([r["x"][c] for r in found], dtype=np.int64) for c in COUNTS}
+    return features(table), np.array([r["bad"] for r in found], dtype=bool), np.array([r["digest"] for r in found], dtype=np.int64)
+
+
+def fitted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", labelled_rows: int = LABELLED_ROWS, **options) -> list[Rule]:
+    """Rules learned from labels (id, quality 0 or 1) of a bounded sample of labelled documents; without labels, none."""
+    x, bad, _ = labelled_sample(docs, labels, id_col, text_col, labelled_rows)
+    return learn(x, bad, **options) if len(x) else []
+
+
+def held_out(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", labelled_rows: int = LABELLED_ROWS, fifth: int = 0, **options) -> dict[str, float]:
+    """How a list learned from four fifths of the labelled sample does on the fifth: rows, share of bad ones, precision and recall for them."""
+    x, bad, digest = labelled_sample(docs, labels, id_col, text_col, labelled_rows)
+    test = digest % 5 == fifth
+    rules = learn(x[~test], bad[~test], **options)
+    hit = np.zeros(int(test.sum()), dtype=bool)
+    for rule in rules:
+        hit |= _covers(rule, x[test])
+    right = int((hit & bad[test]).sum())
+    return {"rows": len(hit), "bad": float(bad[test].mean()) if len(hit) else 0.0, "precision": right / max(1, int(hit.sum())), "recall": right / max(1, int(bad[test].sum()))}
 
 
 def base_failed(prefix: str = "") -> Column:
@@ -254,8 +300,12 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def kept_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs that ``judged`` keeps, with all their columns."""
+    """The rows of docs that ``judged`` keeps, with all their columns.
+
+    Null, empty and blank texts have no words and go; rows without an id are judged by their text like others. Rows that share an id, and
+    repeated rows, are judged each by itself and stay together. An empty table gives an empty result. Columns of docs may have any name.
+    """
     rules = fitted(docs, labels, id_col, text_col, **options)
-    prefix = "__count_"
+    prefix = unused(docs.columns, "count_")
     out = with_stats(docs, text_col, prefix)
     return out.filter(~base_failed(prefix) & (compiled(rules, prefix) == 0)).select(*docs.columns)

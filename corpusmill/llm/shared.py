@@ -50,6 +50,13 @@ def dropped(df: DataFrame) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name`` behind as many underscores as no column's name, in capitals or not, begins with."""
+    while any(c.lower().startswith(name.lower()) for c in columns):
+        name = "_" + name
+    return name
+
+
 def importable(spark: SparkSession) -> None:
     """Python workers import this package from where the driver has it; a cluster ships it with --py-files."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

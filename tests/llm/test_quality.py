@@ -22,9 +22,18 @@ def brute(text):
     )
 
 
+def thue_morse(n, pair="ab"):
+    """Strings for which polynomial hashes modulo 2 ** 64 collide with those of their complements from 1,024 items on."""
+    return "".join(pair[bin(i).count("1") % 2] for i in range(n))
+
+
 def texts():
     rng = random.Random(5)
     out = [None, "", "\n\n", " \n a\n a\na\na", "a b c a b c", "é# 中|\x0b$ 😀!?9"]
+    for n in (1024, 4096):
+        one, other = thue_morse(n), thue_morse(n, "ba")
+        out += [f"{one}\n{other}", f"{one}\n{other}\n{one}", f"{one} x y {other} x y", f"{one} x y z {one} x y", " ".join(one), " ".join(one + other)]
+    out.append("long " + "w" * 300_000 + " " + "w" * 300_000 + " long\n" + "v" * 17 + " " + "v" * 17 + " " + "v" * 16)
     for _ in range(150):
         out.append("".join(rng.choice(["a", "b", "C", " ", "\n", "\t", "é", "#", "中", "!", "7", "ab "]) for _ in range(rng.randint(0, 200))))
     return out
@@ -36,6 +45,21 @@ def test_counts_against_brute_force(limit):
     assert [tuple(x) for x in found.T.tolist()] == [brute(t) for t in texts()]
 
 
+def test_words_that_share_a_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(B, "word_hashes", lambda data, start, end: (end - start).astype(np.uint64))
+    test_counts_against_brute_force(500)
+
+
+def test_columns_of_any_name_and_sample_bound(spark):
+    docs = spark.createDataFrame([(i, "a b c d e " * 20 if i % 2 else " ".join(f"w{i}x{k}" for k in range(60)), i, 1) for i in range(40)], "doc_id long, text string, count_n_words long, rule int")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    left = quality.kept_rows(docs, labels)
+    assert left.columns == docs.columns and left.count() in range(0, 21)
+    x, bad, digest = quality.labelled_sample(docs.union(docs), labels.union(labels), labelled_rows=10)
+    assert len(x) == len(bad) == 10 and (np.diff(digest) > 0).all()
+    assert quality.held_out(docs, labels)["rows"] in range(1, 40)
+
+
 def test_judged_rows(spark):
     rng = random.Random(1)
     good = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(80))
