@@ -11,7 +11,8 @@ A run is described by hashes of its anchor and of its context, the items that it
 - equal contexts (a class of runs): all their windows are equal in pairs, so they occur together;
 - one anchor, several classes: one run stands for each class, its context is fetched, and the classes are compared window by window.
 
-The first two cases are aggregates and joins on hashes of 64 bits for each of anchor and context. Only the third moves contexts. All
+The first two cases are aggregates and joins on hashes of 64 bits for each of anchor and context, 128 together; the third moves contexts
+and compares windows item by item. An anchor or class that very many runs have is joined under salts, so no task gets all of them. All
 windows of a run contain its anchor, so those of them that are repeats cover one span.
 
 ``earlier``: a window counts as a repeat in texts of larger id than the smallest one that has it; else wherever it occurs again,
@@ -29,13 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytes_np as B
-from .shared import importable, staged
+from .shared import dropped, importable, staged
 
 #: Bits of a place within a block, in the lower end of a seed's key; a block has fewer items.
 PLACE_BITS = 24
 BLOCK = 1 << 22
 #: Classes of one anchor that are compared within one task, at most; those of anchors with more are compared by shuffled windows.
 TOGETHER = 50_000
+#: A key with more than one row in so many is hot: there are fewer of them than that, and their rows are spread over ``SALTS`` tasks.
+HOT_SHARE, SALTS = 1000, 128
 
 RUN_SCHEMA = "h long, c long, id long, dg long, lo long, reach int, n int"
 
@@ -177,20 +180,22 @@ def _compared(contexts: DataFrame, kind: Kind) -> DataFrame:
 
 
 def _by_windows(contexts: DataFrame, kind: Kind) -> DataFrame:
-    """The same as ``_compared`` for anchors with very many classes: windows are shuffled by their hash, and combined in each task first."""
+    """The same as ``_compared`` for anchors with very many classes: windows themselves are shuffled, and combined in each task first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = kind.length * kind.item_bytes
         for batch in batches:
-            for i in range(0, len(batch), 1000):
-                t = _table(batch.slice(i, 1000))
+            for i in range(0, len(batch), 500):
+                t = _table(batch.slice(i, 500))
                 n = t["n"].astype(np.int64) + 1
                 row = np.repeat(np.arange(len(n)), n)
                 j = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-                start = t["at"][row] + j * kind.item_bytes
-                w = B.mix(B.Roller(t["data"]).of(start, start + kind.length * kind.item_bytes)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (t["h"][row], t["c"][row], t["mid"][row], (t["reach"][row] - j).astype(np.int32), t["reach"][row], w)], ["h", "c", "mid", "o", "reach", "w"])
+                blob = t["data"].tobytes()
+                w = [blob[x : x + size] for x in (t["at"][row] + j * kind.item_bytes).tolist()]
+                columns = [pa.array(x) for x in (t["h"][row], t["c"][row], t["mid"][row], (t["reach"][row] - j).astype(np.int32), t["reach"][row])]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(w, pa.binary())], ["h", "c", "mid", "o", "reach", "w"])
 
-    windows = contexts.mapInArrow(run, "h long, c long, mid long, o int, reach int, w long")
+    windows = contexts.mapInArrow(run, "h long, c long, mid long, o int, reach int, w binary")
     groups = windows.groupBy("h", "o", "w").agg(F.min("mid").alias("low"), F.min("c").alias("c1"), F.max("c").alias("c2"))
     repeated = (F.col("mid") > F.col("low")) if kind.earlier else (F.col("c1") != F.col("c2"))
     found = windows.join(groups, ["h", "o", "w"]).filter(repeated)
@@ -203,9 +208,10 @@ def spans(rows: DataFrame, kind: Kind, together: int = TOGETHER) -> DataFrame:
     importable(rows.sparkSession)
     found = run_rows(rows, kind)
     anchors = found.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("c").alias("c1"), F.max("c").alias("c2"), F.min("id").alias("first"), F.max("id").alias("last"))
-    shared = anchors.filter(F.col("first") < F.col("last") if kind.earlier else F.col("k") > 1).select("h", "first", (F.col("c1") == F.col("c2")).alias("one"))
-    # As a table of its own: a join of two shuffles, of which Spark splits the partition of an anchor that very many runs have.
-    shared = staged(found.join(staged(shared, "shared-anchors"), "h"), "shared-runs")
+    shared = anchors.filter(F.col("first") < F.col("last") if kind.earlier else F.col("k") > 1).select("h", "k", "first", (F.col("c1") == F.col("c2")).alias("one"))
+    anchored = staged(shared, "shared-anchors")
+    shared = staged(salted_join(found, anchored, ["h"]), "shared-runs")
+    dropped(anchored)
     whole = ("id", "dg", F.col("lo").alias("start"), (F.col("lo") + F.col("n") + kind.length).alias("end"))
     simple = shared.filter(F.col("one") & (F.col("id") > F.col("first") if kind.earlier else F.lit(True))).select(*whole)
 
@@ -223,14 +229,27 @@ def spans(rows: DataFrame, kind: Kind, together: int = TOGETHER) -> DataFrame:
     if crowded:
         verdicts = verdicts.union(_by_windows(contexts.join(many, "h", "left_semi"), kind))
 
-    of_class = classes.select("h", "c", "k", "mid").join(verdicts, ["h", "c"], "left")
-    joined = several.join(of_class, ["h", "c"])
-    settled = F.col("id") > F.col("mid") if kind.earlier else F.col("k") > 1
+    of_class = staged(classes.select("h", "c", "k", "mid", (F.col("k") > 1).alias("again")).join(verdicts, ["h", "c"], "left"), "verdicts")
+    joined = salted_join(several, of_class, ["h", "c"])
+    settled = F.col("id") > F.col("mid") if kind.earlier else F.col("again")
     start = F.when(settled, F.col("lo")).otherwise(F.col("lo") + F.col("a"))
     end = F.when(settled, F.col("lo") + F.col("n") + kind.length).otherwise(F.col("lo") + F.col("b"))
     return simple.union(joined.filter(settled | F.col("a").isNotNull()).select("id", "dg", start.alias("start"), end.alias("end")))
 
 
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", share: int = HOT_SHARE) -> DataFrame:
+    """left joined to right, which has each key once and how many rows of left have it (``k``). k is dropped.
+
+    Hot keys are known by k and fewer than ``share``, so they are sent to every executor; there, rows of left that have one are dealt out
+    by a salt, and the row of right is given under every salt. right is read three times and should be a staged table.
+    """
+    total = right.agg(F.coalesce(F.sum("k"), F.lit(0))).first()[0]
+    hot = right.filter(F.col("k") > max(1, total // share)).select(*keys, F.lit(True).alias("__hot"))
+    dealt = left.join(F.broadcast(hot), keys, "left").withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64("id", "dg", "lo"), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))).drop("__hot")
+    salts = F.when(F.col("k") > max(1, total // share), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    return dealt.join(right.withColumn("__salt", F.explode(salts)).drop("k"), [*keys, "__salt"], how).drop("__salt")
+
+
 def gathered(rows: DataFrame, found: DataFrame) -> DataFrame:
     """rows with ``spans``, the list of their spans or null. A text's list is bounded by its length."""
     lists = found.distinct().groupBy("id", "dg").agg(F.collect_list(F.struct("start", "end")).alias("spans"))

@@ -36,9 +36,13 @@ def _cut(text: bytes):
 
 
 def _compare(kind: repeats.Kind, t: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Extends the runs of each anchor word by word: (least, most) offset of the anchor in a repeated window, and whether there is one."""
+    """Extends the runs of each anchor word by word: (least, most) offset of the anchor in a repeated window, and whether there is one.
+
+    Windows meet by a hash and are then compared word by word, as the hashes of their words.
+    """
     n = len(t["h"])
-    roll = B.Roller(np.ascontiguousarray(t["data"]).view(np.uint64))
+    words = np.ascontiguousarray(t["data"]).view(np.uint64)
+    roll = B.Roller(words)
     at, h = t["at"] // 8, B.mix(t["h"].view(np.uint64))
     least, most = np.full(n, np.iinfo(np.int32).max), np.full(n, -1)
     for o in range(int((t["reach"] - t["n"]).min(initial=0)), int(t["reach"].max(initial=-1)) + 1):
@@ -46,9 +50,18 @@ def _compare(kind: repeats.Kind, t: dict[str, np.ndarray]) -> tuple[np.ndarray,
         start = at[some] + t["reach"][some] - o
         key = B.mix(roll.of(start, start + kind.length)) ^ h[some]
         order = np.argsort(key, kind="stable")
-        first = np.flatnonzero(np.r_[True, key[order][1:] != key[order][:-1]]) if len(order) else np.zeros(0, dtype=np.int64)
-        if len(first) == len(order):
+        twice = np.flatnonzero(key[order][1:] == key[order][:-1])
+        if not len(twice):
             continue
+        key = key[order]
+        a, b = order[twice], order[twice + 1]
+        if (t["h"][some[a]] != t["h"][some[b]]).any() or not _equal_windows(words, start[a], start[b], kind.length):
+            # Two windows share a hash: number the windows by what they are.
+            number: dict[tuple, int] = {}
+            own = [number.setdefault((int(t["h"][some[i]]), words[start[i] : start[i] + kind.length].tobytes()), len(number)) for i in range(len(some))]
+            order = np.argsort(own, kind="stable")
+            key = np.array(own)[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         low = np.minimum.reduceat(t["mid"][some[order]], first)
         late = np.repeat(low, np.diff(np.r_[first, len(order)])) < t["mid"][some[order]]
         hit = some[order[late]]
@@ -56,6 +69,12 @@ def _compare(kind: repeats.Kind, t: dict[str, np.ndarray]) -> tuple[np.ndarray,
     return least, most, most >= 0
 
 
+def _equal_windows(words: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> bool:
+    """Whether words[a : a + length] and words[b : b + length] are equal for all pairs, some thousand pairs at a time."""
+    place = np.arange(length)
+    return all((words[a[i : i + 4096, None] + place] == words[b[i : i + 4096, None] + place]).all() for i in range(0, len(a), 4096))
+
+
 def kind_of(length: int = LENGTH, seed: int = SEED) -> repeats.Kind:
     if not 1 <= seed <= length:
         raise ValueError("a seed has between one word and all words of a repeat")
@@ -67,7 +86,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A word goes if it lies in a window of ``length`` words whose words also begin somewhere in a text of smaller id. Windows are judged on
     the input. Kept words are joined by one blank each. A null text has no words; null ids count as the largest, and rows that share an id
-    don't count against each other. Words are compared by 64-bit hashes. An empty table gives an empty result; other columns are ignored.
+    don't count against each other. Words are compared by their XXH64, windows word by word but where whole contexts have equal hashes of 128
+    bits together. Very long texts are whole: their words and spans are held in one task, texts aren't. An empty table gives an empty result; other columns are ignored.
     """
     rows = repeats.keyed(docs, id_col, text_col)
     found = repeats.gathered(rows, repeats.spans(rows, kind_of(length, seed), together))

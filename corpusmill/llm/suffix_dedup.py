@@ -3,9 +3,10 @@
 The suffixes that are sorted are those at the anchors of repeats (see ``repeats``), about one in a hundred: every window of ``LENGTH`` bytes
 holds an anchor, and equal windows hold it at the same place. Suffixes with one run of bytes around them are settled by aggregates.
 The rest are dealt out by range of their leading bytes with sampled splitters (``repartitionByRange``), so that all suffixes that begin alike
-are in one bucket and no repeat lies across a border of buckets. Buckets are sorted locally by multikey quicksort, eight bytes at a
-time and only among suffixes that are still equal; the bytes before an anchor are sorted the same way, backwards. Common prefixes
-of neighbours then tell, for each place of a window around its anchor, which suffixes have the same window.
+are in one bucket: suffixes on the two sides of a border have fewer than ``SEED`` bytes in common, and every window has at least ``SEED``
+bytes from its anchor on, so there is nothing to compare across it. Buckets are sorted locally by multikey quicksort, eight bytes a key;
+the bytes before an anchor are sorted the same way, backwards. Common prefixes of neighbours then tell, for each place of a window around
+its anchor, which suffixes have the same window.
 """
 
 from __future__ import annotations
@@ -44,38 +45,41 @@ def _cut(text: bytes):
     return lambda lo, n: text[lo : lo + n]
 
 
+#: Rows up to which a part is sorted as it is.
+SMALL = 24
+
+
 def multikey_sort(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order of rows of bytes, and bytes that each has in common with the one before it. Eight bytes are one key, and only ties go on."""
+    """Order of rows of bytes, and bytes that each has in common with the one before it, by multikey quicksort.
+
+    A part is split by one key, eight bytes at its depth, into rows below, at and above a pivot; those at the pivot go on with the next
+    key, the others with the same one. Parts wait on a stack of their own, so depth is no matter of recursion.
+    """
     n, width = rows.shape
-    keys = np.zeros((n, -(-width // 8) * 8), dtype=np.uint8)
-    keys[:, :width] = rows
-    keys = keys.view(">u8").astype(np.uint64)
-    order = np.argsort(keys[:, 0], kind="stable")
+    padded = np.zeros((n, -(-width // 8) * 8), dtype=np.uint8)
+    padded[:, :width] = rows
+    keys = padded.view(">u8").astype(np.uint64)
+    order, blob, stride = np.arange(n), padded.tobytes(), padded.shape[1]
+    parts = [(0, n, 0)]
+    while parts:
+        low, high, depth = parts.pop()
+        if high - low < 2 or depth == keys.shape[1]:
+            continue
+        part = order[low:high]
+        if high - low <= SMALL:
+            order[low:high] = sorted(part.tolist(), key=lambda i, d=8 * depth: blob[i * stride + d : (i + 1) * stride])
+            continue
+        key = keys[part, depth]
+        pivot = sorted((key[0], key[len(key) // 2], key[-1]))[1]
+        below, above = key < pivot, key > pivot
+        order[low:high] = np.concatenate([part[below], part[~(below | above)], part[above]])
+        a, b = low + int(below.sum()), high - int(above.sum())
+        parts += [(low, a, depth), (a, b, depth + 1), (b, high, depth)]
     common = np.zeros(n, dtype=np.int64)
-    tied = np.arange(n)  # places in the order that are still tied to a neighbour
-    group = np.zeros(n, dtype=np.int64)
-    for d in range(keys.shape[1]):
-        key = keys[order[tied], d]
-        if d:
-            again = np.lexsort((key, group))
-            order[tied], key = order[tied][again], key[again]
-        # Neighbours of one group: equal keys go on, others have some leading bytes of the key in common.
-        same_group = np.r_[False, group[1:] == group[:-1]]
-        differs = np.r_[True, key[1:] != key[:-1]]
-        cut = np.flatnonzero(same_group & differs)
-        bits = key[cut] ^ key[cut - 1]
-        zero_bytes = np.zeros(len(cut), dtype=np.int64)
-        for k in range(1, 8):
-            zero_bytes += bits < (np.uint64(1) << np.uint64(64 - 8 * k))
-        common[tied[cut]] += zero_bytes
-        equal = same_group & ~differs
-        common[tied[equal]] += 8
-        go_on = equal | np.r_[equal[1:], False]
-        group = np.cumsum(~equal)[go_on]
-        tied = tied[go_on]
-        if not len(tied):
-            break
-    common[0:1] = 0
+    for i in range(1, n, 1 << 13):
+        j = min(n, i + (1 << 13))
+        differ = padded[order[i:j]] != padded[order[i - 1 : j - 1]]
+        common[i:j] = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
     return order, np.minimum(common, width)
 
 

@@ -105,3 +105,49 @@ def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert substring_dedup.without_repeats(docs).collect() == []
     assert suffix_dedup.without_repeats(docs).collect() == []
+
+
+def thue_morse(n, pair="ab"):
+    return "".join(pair[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_and_bytes_that_polynomial_hashes_confuse(spark):
+    rows = []
+    for k, n in enumerate((1024, 4096)):
+        base = [f"x{k}w{i}" for i in range(50)]
+        rows += [(10 * k, " ".join(base[:49] + [thue_morse(n)])), (10 * k + 1, " ".join(base[:49] + [thue_morse(n, "ba")])), (10 * k + 2, " ".join(base[:49] + [thue_morse(n, "ba")]))]
+        rows += [(10 * k + 3, thue_morse(n, "cd")), (10 * k + 4, thue_morse(n, "dc"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = substring_dedup.without_repeats(docs).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in out) == sorted((i, *b) for (i, _), b in zip(rows, brute_words(rows, 50), strict=True))
+    out = suffix_dedup.without_repeats(docs).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out) == sorted((i, *b) for (i, _), b in zip(rows, brute_bytes(rows, 200), strict=True))
+
+
+def test_windows_of_one_hash_are_told_apart(spark, monkeypatch):
+    from corpusmill.llm import bytes_np as B
+
+    rows = [(r, t) for r, t in corpus(5, 400)][:40]
+    kind, table = substring_dedup.kind_of(12, 4), {}
+    words = [np.array([hash(w) % (1 << 62) for w in (t or "").split()[:15]], dtype=np.uint64) for _, t in rows]
+    words = [w for w in words if len(w) == 15] * 2
+    table = {"h": np.zeros(len(words), dtype=np.int64), "c": np.arange(len(words)), "mid": np.arange(len(words)), "reach": np.full(len(words), 3), "n": np.full(len(words), 3), "data": np.concatenate(words).view(np.uint8), "at": np.arange(len(words) + 1) * 120}
+    want = substring_dedup._compare(kind, table)
+    monkeypatch.setattr(B.Roller, "of", lambda self, a, b: np.zeros(len(a), dtype=np.uint64))
+    got = substring_dedup._compare(kind, table)
+    assert all((a == b).all() for a, b in zip(want, got, strict=True)) and want[2].sum() == len(words) // 2
+
+
+def test_hot_anchors_and_long_texts(spark):
+    """A third of all runs have one anchor and one class; a text of 300,000 words repeats a passage of others."""
+    rng = random.Random(8)
+    passage = " ".join(f"p{i}" for i in range(80))
+    rows = [(i, f"{passage} tail{i}") for i in range(60)] + [(100 + i, " ".join(f"n{i}x{k}" for k in range(90))) for i in range(20)]
+    rows.append((200, " ".join(f"l{rng.randrange(10**9)}" for _ in range(300_000)) + " " + passage))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.n_removed for r in substring_dedup.without_repeats(docs).collect()}
+    assert out == {i: 80 * (0 < i < 60 or i == 200) for i, _ in rows}
+    size = len(passage) + 1
+    out = {r.doc_id: r.n_removed for r in suffix_dedup.without_repeats(docs).collect()}
+    # The blank before the last one's passage is no start of a shared string, the tail's first letters are.
+    assert all((n >= size - 1) == (i < 60 or i == 200) for i, n in out.items())
