@@ -21,6 +21,8 @@ INLINE_RULES = 256
 SAMPLE_ROWS = 20_000
 #: Copies of a URL that are numbered at a time.
 COPIES = 1000
+#: Values of the leading part of a digest.
+DIGESTS = 1 << 32
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -102,22 +104,41 @@ def _lexical(rows: DataFrame) -> DataFrame:
     })
 
 
-def suffix_statistics(labelled: DataFrame, prior: float = 20.0) -> DataFrame:
+@dataclass(frozen=True)
+class Suffixes:
+    """Statistics of the last labels of hosts over all labelled URLs; ``mean`` is the share of URLs to block, which unseen labels get."""
+
+    table: DataFrame
+    rows: int
+    mean: float
+
+    def joined(self, df: DataFrame) -> DataFrame:
+        rate, share = F.coalesce("suffix_rate", F.lit(self.mean)), F.coalesce("suffix_share", F.lit(0.0))
+        return df.join(self.table, "suffix", "left").withColumns({"suffix_rate": rate, "suffix_share": share})
+
+
+def suffix_statistics(labelled: DataFrame, prior: float = 20.0) -> Suffixes:
     """(suffix, suffix_rate, suffix_share): how often URLs of a last host label are blocked, drawn to the mean of all, and how common they are; over all rows."""
-    per = labelled.groupBy("suffix").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("blocked"))
+    per = staged(labelled.groupBy("suffix").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("blocked")), "suffixes")
     n, blocked = per.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("blocked"), F.lit(0.0))).first()
     mean = blocked / n if n else 0.5
-    return per.select("suffix", ((F.col("blocked") + prior * mean) / (F.col("n") + prior)).alias("suffix_rate"), (F.col("n") / F.lit(float(max(n, 1)))).alias("suffix_share"))
+    table = per.select("suffix", ((F.col("blocked") + prior * mean) / (F.col("n") + prior)).alias("suffix_rate"), (F.col("n") / F.lit(float(max(n, 1)))).alias("suffix_share"))
+    return Suffixes(table, n, mean)
+
 
+def sampled(known: DataFrame, rows: int, n: int) -> DataFrame:
+    """Of the n rows of known (url, host, path, y) those of smallest digest of the URL and the number of the copy, so that each row has the same chance.
 
-def sampled(known: DataFrame, rows: int) -> DataFrame:
-    """Of known (url, host, path, y) the rows of smallest digest of the URL and the number of the copy, so that each row has the same chance."""
+    A bound on the digest, which follows from n, leaves little more than the sample before it is sorted.
+    """
     per = known.groupBy("url", "host", "path", "y").agg(F.count(F.lit(1)).alias("n"))
     runs = per.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES))))
     first = F.col("run") * COPIES
     each = runs.withColumn("copy", F.explode(F.sequence(first, F.least(first + COPIES, "n") - 1)))
-    digest = F.md5(F.concat_ws(":", "copy", "y", F.coalesce("url", F.lit(""))))
-    return each.orderBy(digest, "url", "y", "copy").limit(rows).select("url", "host", "path", "y")
+    bound = DIGESTS * (rows + 6 * math.sqrt(rows) + 10) / max(n, 1)
+    each = each.withColumn("digest", F.md5(F.concat_ws(":", "copy", "y", F.coalesce("url", F.lit("")))))
+    each = each.filter(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") < F.lit(int(min(bound, DIGESTS))))
+    return each.orderBy("digest", "url", "y", "copy").limit(rows).select("url", "host", "path", "y")
 
 
 @dataclass(frozen=True)
@@ -223,33 +244,54 @@ def fit(sample: DataFrame, n_trees: int = 8, depth: int = 3, rate: float = 0.4,
     return Trees(start, tuple(trees))
 
 
+def _parsed(df: DataFrame, *more: Column) -> DataFrame:
+    host, path = host_and_path(F.col("url"))
+    return df.select("url", host.alias("host"), path.alias("path"), *more)
+
+
+def learned(known: DataFrame, sample_rows: int = SAMPLE_ROWS, **options) -> tuple[Suffixes, Trees]:
+    """Suffix statistics of all rows of known (url, host, path, y), and trees fitted on at most ``sample_rows`` of them. Without rows: a score of one half."""
+    stats = suffix_statistics(known.withColumn("suffix", F.regexp_extract("host", r"[^.]*$", 0)))
+    if not stats.rows:
+        return stats, Trees(0.0, ())
+    return stats, fit(stats.joined(_lexical(sampled(known, sample_rows, stats.rows))), **options)
+
+
+def _scored(rows: DataFrame, model: tuple[Suffixes, Trees]) -> DataFrame:
+    return model[0].joined(_lexical(rows)).withColumn("score", 1 / (1 + F.exp(-model[1].column())))
+
+
+def _decided(pages: DataFrame, rules: list[Rule], labelled: DataFrame | None, id_col: str, url_col: str) -> tuple[DataFrame, DataFrame]:
+    """(pages with rules, labelled URLs): without labels, the URLs that a rule decides, 1 where it blocks; what no rule decides has no label."""
+    rows = matched(_parsed(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url")), F.col("id")), rules)
+    if labelled is None:
+        return rows, rows.filter("rule_verdict is not null").select("url", "host", "path", (F.col("rule_verdict") == "block").cast("double").alias("y"))
+    return rows, _parsed(labelled.select("url", F.col("y").cast("double").alias("y")), F.col("y")).filter("y is not null")
+
+
 def judged(pages: DataFrame, rules: list[Rule], labelled: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", sample_rows: int = SAMPLE_ROWS, threshold: float = 0.5, **options) -> DataFrame:
     """One row per row of pages: id, host, path, rule, verdict, and score, the chance of being blocked that the trees give it.
 
     verdict is that of the longest rule that fits, else block where the score is over ``threshold``. labelled: (url, y) with y 1 for URLs to
-    block and 0 for others, which the trees learn from; without it, from pages themselves: 1 where a rule blocks, 0 where a rule allows or
-    none fits. Suffix statistics are of all of labelled, the trees of at most ``sample_rows`` of its rows. A null URL, or one without ://, has
-    an empty host and path, fits no rule and is scored by its features. Repeated rows are judged alike, null ids stay; an empty table gives
-    an empty result; other columns are ignored.
+    block and 0 for others, which the trees learn from; without it, they learn from the pages that a rule decides, and from them alone.
+    Suffix statistics are of all of labelled, the trees of at most ``sample_rows`` of its rows; a suffix that labelled doesn't have gets the mean rate.
+    Without labelled rows all scores are one half, which allows. A null URL, or one without ://, has an empty host and path, fits no rule
+    and is scored by its features. Repeated rows are judged alike, null ids stay; an empty table gives an empty result; other columns are
+    ignored.
     """
-    def parsed(df: DataFrame, *more: Column) -> DataFrame:
-        host, path = host_and_path(F.col("url"))
-        return df.select("url", host.alias("host"), path.alias("path"), *more)
-
-    rows = matched(parsed(pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url")), F.col("id")), rules)
-    if labelled is None:
-        known = rows.select("url", "host", "path", F.coalesce((F.col("rule_verdict") == "block").cast("double"), F.lit(0.0)).alias("y"))
-    else:
-        known = parsed(labelled.select("url", F.col("y").cast("double").alias("y")), F.col("y")).filter("y is not null")
-    stats = staged(suffix_statistics(known.withColumn("suffix", F.regexp_extract("host", r"[^.]*$", 0))), "suffixes")
-    some = sampled(known, sample_rows)
-
-    def full(df: DataFrame) -> DataFrame:
-        mean = F.lit(0.0)
-        return _lexical(df).join(stats, "suffix", "left").withColumns({"suffix_rate": F.coalesce("suffix_rate", mean), "suffix_share": F.coalesce("suffix_share", mean)})
-
-    model = fit(full(some), **options)
-    score = 1 / (1 + F.exp(-model.column()))
-    out = full(rows).withColumn("score", score)
+    rows, known = _decided(pages, rules, labelled, id_col, url_col)
+    out = _scored(rows, learned(known, sample_rows, **options))
     verdict = F.coalesce("rule_verdict", F.when(F.col("score") > threshold, "block").otherwise("allow"))
     return out.select(F.col("id").alias(id_col), "host", "path", "rule", verdict.alias("verdict"), "score")
+
+
+def held_out(pages: DataFrame, rules: list[Rule], labelled: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", sample_rows: int = SAMPLE_ROWS, threshold: float = 0.5, **options) -> DataFrame:
+    """One row: rows, right, accuracy and base_rate (of the commoner verdict) on a fifth of the labelled URLs, by digest of the host, after learning from the others.
+
+    Hosts of one part aren't in the other, so that hosts learned by heart don't count.
+    """
+    _, known = _decided(pages, rules, labelled, id_col, url_col)
+    fifth = F.pmod(F.xxhash64("host"), F.lit(5)) == 0
+    test = _scored(known.filter(fifth), learned(known.filter(~fifth), sample_rows, **options))
+    n, right, y = F.count(F.lit(1)), F.sum(((F.col("score") > threshold) == (F.col("y") > 0.5)).cast("long")), F.sum("y")
+    return test.agg(n.alias("rows"), right.alias("right"), (right / n).alias("accuracy"), (F.greatest(y, n - y) / n).alias("base_rate"))

@@ -78,6 +78,31 @@ def test_sample_is_not_crowded_by_one_url(spark):
     out = U.judged(pages, [], labelled, sample_rows=500).collect()
     assert all(1e-6 < r.score < 1 - 1e-6 for r in out)
     known = labelled.selectExpr("url", "'' as host", "'' as path", "y")
-    some = U.sampled(known, 500).collect()
+    some = U.sampled(known, 500, len(rows)).collect()
     assert len(some) == 500 and 250 < sum(r.url == urls[0] for r in some) < 440
-    assert U.sampled(known, 9999).count() == len(rows)
+    assert U.sampled(known, 9999, len(rows)).count() == len(rows)
+
+
+def test_undecided_urls_get_both_verdicts_and_unseen_suffixes_the_mean(spark):
+    """Rules block long numeric paths of one kind of host; undecided URLs look like either kind. They aren't training rows."""
+    rng = random.Random(4)
+    page = lambda host, bad: f"http://{host}/{'x' if not bad else rng.randint(10**9, 10**10)}"
+    rows = [page(f"a{i}.blocked.net", True) for i in range(300)] + [page(f"b{i}.good.org", False) for i in range(300)]
+    rows += [page(f"c{i}.else.com", i % 2) for i in range(100)] + [page(f"d{i}.else.info", i % 2) for i in range(100)]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    rules = [U.Rule("blocked.net/", "block"), U.Rule("good.org/", "allow")]
+    out = {r.page_id: r for r in U.judged(pages, rules).collect()}
+    left = [r for r in out.values() if r.rule is None]
+    assert len(left) == 200 and {r.verdict for r in left} == {"block", "allow"}
+    assert sum((r.verdict == "block") == bool(r.page_id % 2) for r in left) >= 180
+    stats = U.suffix_statistics(spark.createDataFrame([("net", 1.0), ("net", 1.0), ("org", 0.0), ("org", 1.0)], "suffix string, y double"))
+    got = {r.suffix: r.suffix_rate for r in stats.joined(spark.createDataFrame([("net",), ("new",)], "suffix string")).collect()}
+    assert stats.mean == 0.75 and got["new"] == 0.75 and got["net"] > 0.75
+    fig = U.held_out(pages, rules).first()
+    assert fig.rows > 60 and fig.accuracy > 0.95
+
+
+def test_nothing_to_learn_from(spark):
+    pages = spark.createDataFrame([(1, "http://a.b/c"), (2, None), (None, "http://x.net/" + "a?" * 20_000)], "page_id long, url string")
+    out = {r.page_id: (r.rule, r.verdict) for r in U.judged(pages, [U.Rule("q.q/", "block")]).collect()}
+    assert out == {1: (None, "allow"), 2: (None, "allow"), None: (None, "allow")}
