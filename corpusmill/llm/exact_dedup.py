@@ -1,22 +1,36 @@
 """Exact dedup: a log-structured merge index of text digests.
 
-Each scan task is a memtable. It is flushed as one or more runs: Parquet files sorted by digest, with the minimum and maximum of
-the digest per row group and a Bloom filter on it, so that a later look-up of single digests opens few of them. Compaction merges
-runs into one sorted level and keeps, for each digest, the row that stays (most code points, then smallest id) and the group's
-size. Hits, the digests with two rows or more, are verified on the bytes of the normalised texts.
+Rows of (digest, id, n_chars) fill a memtable of bounded size, in which rows of one digest are one entry: the row that stays (most code
+points, then smallest id) and how many there are. A full memtable is flushed as a run, Parquet files sorted by digest, with a filter of
+its digests. ``FANOUT`` runs of one level are compacted into a run of the next, entries of one digest becoming one. A manifest names the
+runs; it is replaced as a whole, so that an index opens again as it was after its last finished step, whatever was lost.
+
+Look-ups ask each run's filter first, and only a run whose filter says that some digest may be there is opened, for these digests alone.
+A filter is a table of blocks of 256 bits, one bit in each of a block's four words for each digest: it is made by one aggregate and
+asked by one join, without any UDF. Hits are verified on the bytes of the normalised texts.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from dataclasses import asdict, dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import new_path
+from .shared import dropped, new_path, staged, unused
 
 #: White space that does not count when texts are compared.
 SPACES = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 #: Rows up to which the digests of hits are sent to every executor (about 100 bytes each, so 50 MB at most); more are shuffled.
 BROADCAST_ROWS = 500_000
+#: Bytes of digest files of one memtable, about, and memtables of a corpus at least.
+MEMTABLE_BYTES, LEAST_MEMTABLES = 2 << 30, 4
+#: Runs of one level that become one of the next.
+FANOUT = 4
+#: Bits of a run's filter for each digest.
+FILTER_BITS = 16
 
 
 def normalised(text: Column) -> Column:
@@ -27,45 +41,181 @@ def normalised(text: Column) -> Column:
     return out
 
 
+def digest_of(text: Column) -> Column:
+    return F.unhex(F.sha2(normalised(text), 256))
+
+
+@dataclass(frozen=True)
+class Run:
+    """A sorted run: its folder, its level, how many digests it has and how many blocks its filter has."""
+
+    path: str
+    level: int
+    digests: int
+    blocks: int
+
+
+def _entries(rows: DataFrame) -> DataFrame:
+    """One entry for each digest of rows (digest, keep_id, n_chars, group_size). Rows of one digest are combined in each task first."""
+    best = F.min(F.struct((-F.col("n_chars")).alias("less"), F.col("keep_id").isNull().alias("none"), F.col("keep_id").alias("id")))
+    per = rows.groupBy("digest").agg(best.alias("best"), F.sum("group_size").alias("group_size"))
+    return per.select("digest", F.col("best.id").alias("keep_id"), (-F.col("best.less")).alias("n_chars"), "group_size")
+
+
+def _place(blocks: int) -> Column:
+    return F.xxhash64("digest").bitwiseAND(F.lit(blocks - 1))
+
+
+def _bit(word: int) -> Column:
+    return F.expr(f"shiftleft(1L, cast(shiftrightunsigned(xxhash64(digest, 1), {6 * word}) & 63 as int))")
+
+
 class DigestIndex:
-    """Runs of (digest, id, n_chars) in a shared folder, by level.
+    """Runs of (digest, keep_id, n_chars, group_size) in a shared folder, by level, and a manifest that names them.
 
-    ``append`` flushes a batch as new runs of level 0, ``compact`` merges all runs into one level of (digest, keep_id, n_chars,
-    group_size), ``lookup`` gives the rows of a batch whose digest is known. An interrupted append leaves only a folder that no
-    manifest row names, so it can be repeated.
+    ``append`` flushes a batch as a run and compacts what is due, ``lookup`` finds the entries of digests, ``close`` deletes the index. An
+    interrupted step leaves only folders that no manifest names, so it can be repeated; with the path of an index it opens that index.
+    ``opened`` and ``skipped`` count the runs that look-ups have opened, and those that their filters kept shut.
     """
 
-    def __init__(self, spark: SparkSession, path: str | None = None):
-        self.spark, self.path, self.runs, self.level = spark, path or new_path(spark, "digests"), [], None
+    def __init__(self, spark: SparkSession, path: str | None = None, fanout: int = FANOUT):
+        self.spark, self.path, self.fanout = spark, path or new_path(spark, "digests"), fanout
+        self.opened = self.skipped = 0
+        self._hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._hadoop(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self.step, self.runs = self._newest()
 
-    def _flush(self, df: DataFrame, where: str) -> None:
-        (
-            df.sortWithinPartitions("digest").write.option("parquet.bloom.filter.enabled#digest", "true")
-            .option("parquet.bloom.filter.adaptive.enabled", "true").option("parquet.bloom.filter.max.bytes", str(1 << 20)).parquet(where)
-        )
+    def _newest(self) -> tuple[int, list[Run]]:
+        where = self._hadoop(f"{self.path}/manifest")
+        if not self._fs.exists(where):
+            return 0, []
+        steps = [int(s.getPath().getName()[:-5]) for s in self._fs.listStatus(where) if s.getPath().getName().endswith(".json")]
+        if not steps:
+            return 0, []
+        text = self.spark.read.text(f"{self.path}/manifest/{max(steps):012d}.json", wholetext=True).first()[0]
+        return max(steps), [Run(**r) for r in json.loads(text)]
+
+    def _commit(self, runs: list[Run]) -> None:
+        """Writes the next manifest under another name and renames it, which is done whole or not at all. Older ones go."""
+        step = self.step + 1
+        part, whole = (self._hadoop(f"{self.path}/manifest/{step:012d}.{kind}") for kind in ("part", "json"))
+        out = self._fs.create(part, True)
+        out.write(bytearray(json.dumps([asdict(r) for r in runs]).encode()))
+        out.close()
+        if not self._fs.rename(part, whole):
+            raise OSError(f"{whole.toString()} couldn't be written")
+        if self.step:
+            self._fs.delete(self._hadoop(f"{self.path}/manifest/{self.step:012d}.json"), False)
+        gone = {r.path for r in self.runs} - {r.path for r in runs}
+        self.step, self.runs = step, runs
+        for path in gone:
+            self._fs.delete(self._hadoop(path), True)
+
+    def _flush(self, entries: DataFrame, level: int) -> Run:
+        where = f"{self.path}/runs/{level}-{uuid.uuid4().hex}"
+        entries.sortWithinPartitions("digest").write.parquet(f"{where}/data")
+        digests = self.spark.read.parquet(f"{where}/data").select("digest")
+        n = digests.count()
+        blocks = 1 << max(0, (n * FILTER_BITS // 256).bit_length())
+        words = [F.bit_or(_bit(w)).alias(f"w{w}") for w in range(4)]
+        digests.groupBy(_place(blocks).alias("block")).agg(*words).write.parquet(f"{where}/filter")
+        return Run(where, level, n, blocks)
 
     def append(self, rows: DataFrame) -> DataFrame:
-        """Flushes rows of (digest binary, id, n_chars); one run for each task. Returns the flushed rows."""
-        where = f"{self.path}/runs/{len(self.runs)}"
-        self._flush(rows, where)
-        self.runs.append(where)
-        return self.spark.read.schema(rows.schema).parquet(where)
+        """Flushes rows of (digest binary, id, n_chars) as a run. Returns the digests of rows that aren't the only ones of theirs, each once."""
+        entries = _entries(rows.select("digest", F.col("id").alias("keep_id"), "n_chars", F.lit(1).cast("long").alias("group_size")))
+        run = self._flush(entries, 0)
+        own = self.spark.read.parquet(f"{run.path}/data")
+        again = own.filter("group_size > 1").select("digest").union(self.lookup(own.select("digest")).select("digest"))
+        hits = staged(again.distinct(), "hits")
+        self._commit([*self.runs, run])
+        self.compact()
+        return hits
+
+    def compact(self) -> None:
+        """Merges the runs of each level that has ``fanout`` of them into one of the next level."""
+        level = 0
+        while any(r.level >= level for r in self.runs):
+            due = [r for r in self.runs if r.level == level]
+            if len(due) >= self.fanout:
+                merged = self._flush(_entries(self.spark.read.parquet(*(f"{r.path}/data" for r in due))), level + 1)
+                self._commit([*(r for r in self.runs if r.level != level), merged])
+            level += 1
+
+    def candidates(self, digests: DataFrame, run: Run) -> DataFrame:
+        """Of digests, each once, those that the run's filter doesn't rule out."""
+        bits = self.spark.read.parquet(f"{run.path}/filter")
+        asked = digests.withColumn("block", _place(run.blocks)).join(bits, "block")
+        for w in range(4):
+            asked = asked.filter(F.col(f"w{w}").bitwiseAND(_bit(w)) != 0)
+        return asked.select("digest")
 
-    def merged(self) -> DataFrame:
-        """The compacted view of all runs. Rows of one digest are combined in each task first, so a digest of very many rows stays cheap."""
-        rows = self.spark.read.parquet(*self.runs)
-        best = F.min(F.struct((-F.col("n_chars")).alias("less"), F.col("id").isNull().alias("none"), F.col("id").alias("id")))
-        return rows.groupBy("digest").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size")).select("digest", F.col("best.id").alias("keep_id"), (-F.col("best.less")).alias("n_chars"), "group_size")
+    def lookup(self, digests: DataFrame) -> DataFrame:
+        """(digest, keep_id, n_chars, group_size) of those of digests, each once, that the index has, over all its runs."""
+        found = None
+        for run in self.runs:
+            maybe = staged(self.candidates(digests, run), "candidates")
+            n = maybe.count()
+            if not n:
+                self.skipped += 1
+                dropped(maybe)
+                continue
+            self.opened += 1
+            rows = self.spark.read.parquet(f"{run.path}/data").join(F.broadcast(maybe) if n <= BROADCAST_ROWS else maybe, "digest")
+            found = rows if found is None else found.union(rows)
+        if found is None:
+            id_type = self.spark.read.parquet(f"{self.runs[0].path}/data").schema["keep_id"].dataType.simpleString() if self.runs else "long"
+            return self.spark.createDataFrame([], f"digest binary, keep_id {id_type}, n_chars long, group_size long")
+        return _entries(found)
 
-    def compact(self) -> DataFrame:
-        where = f"{self.path}/level"
-        self._flush(self.merged(), where)
-        self.level = self.spark.read.parquet(where)
-        return self.level
+    def close(self) -> None:
+        self._fs.delete(self._hadoop(self.path), True)
 
-    def lookup(self, rows: DataFrame) -> DataFrame:
-        """Rows of (digest, ...) with keep_id and group_size of the compacted level; null where the digest is new."""
-        return rows.join(self.level.select("digest", "keep_id", "group_size"), "digest", "left")
+
+def _memtables(rows: DataFrame) -> list[DataFrame]:
+    """A staged table in parts of whole files, each of about ``MEMTABLE_BYTES`` at most, ``LEAST_MEMTABLES`` of them if there are as many files."""
+    spark, path = rows.sparkSession, rows.staged_path
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = sorted((s.getPath().toString(), s.getLen()) for s in where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where) if s.getPath().getName().endswith(".parquet"))
+    room = min(MEMTABLE_BYTES, -(-sum(n for _, n in files) // LEAST_MEMTABLES))
+    parts: list[list[str]] = [[]]
+    size = 0
+    for name, n in files:
+        if parts[-1] and size + n > room:
+            parts.append([])
+            size = 0
+        parts[-1].append(name)
+        size += n
+    return [spark.read.schema(rows.schema).parquet(*p) for p in parts if p]
+
+
+@dataclass(frozen=True)
+class Found:
+    """rows: (id, digest, n_chars) of every row. hits: (digest, keep_id, n_chars, group_size) of the digests of several rows; few: may be broadcast."""
+
+    rows: DataFrame
+    hits: DataFrame
+    few: bool
+
+
+def indexed(docs: DataFrame, id_col: str, text_col: str, broadcast_rows: int = BROADCAST_ROWS) -> Found | None:
+    """Builds an index of docs, verifies its hits on the texts, and deletes it. None where a digest has two texts."""
+    texts = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("norm"), F.length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_chars"))
+    keyed = texts.withColumn("digest", F.unhex(F.sha2(F.col("norm"), 256)))
+    rows = staged(keyed.select("digest", "id", "n_chars"), "digests")
+    index, again = DigestIndex(rows.sparkSession), None
+    for memtable in _memtables(rows):
+        some = index.append(memtable)
+        again = some if again is None else again.union(some)
+    if again is None:
+        return Found(rows, index.lookup(rows.select("digest")), True)
+    hits = staged(index.lookup(again.distinct()), "repeated")
+    index.close()
+    few = hits.limit(broadcast_rows + 1).count() <= broadcast_rows
+    asked = hits.select("digest")
+    copies = keyed.select("digest", "norm").join(F.broadcast(asked) if few else asked, "digest", "left_semi")
+    clash = copies.groupBy("digest", "norm").agg(F.count(F.lit(1)).alias("n")).groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
+    return Found(rows, hits, few) if clash.isEmpty() else None
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -80,41 +230,40 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     they are grouped by digest and text, which compares whole texts and is combined in each task first. A digest with two texts makes
     the operator fall back to grouping by text.
     """
-    spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("norm"), F.length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_chars"))
-    keyed = texts.withColumn("digest", F.unhex(F.sha2(F.col("norm"), 256)))
-    index = DigestIndex(spark)
-    rows = index.append(keyed.select("digest", "id", "n_chars"))
-    merged = index.compact()
-    hits = merged.filter("group_size > 1").select("digest")
-    few = hits.limit(broadcast_rows + 1).count() <= broadcast_rows
-    copies = keyed.select("digest", "norm").join(F.broadcast(hits) if few else hits, "digest", "left_semi")
-    clash = copies.groupBy("digest", "norm").agg(F.count(F.lit(1)).alias("n")).groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
-    if not clash.isEmpty():
-        best = F.min(F.struct((-F.col("n_chars")).alias("less"), F.col("id").isNull().alias("none"), F.col("id").alias("id")))
-        groups = texts.groupBy("norm").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
-        found = texts.join(groups, "norm").select("id", F.col("best.id").alias("keep_id"), "group_size", F.unhex(F.sha2("norm", 256)).alias("digest"))
+    found = indexed(docs, id_col, text_col, broadcast_rows)
+    if found is None:
+        texts = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("norm"), F.length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_chars"))
+        groups = _entries(texts.select(F.col("norm").alias("digest"), F.col("id").alias("keep_id"), "n_chars", F.lit(1).cast("long").alias("group_size"))).withColumnRenamed("digest", "norm").drop("n_chars")
+        rows = texts.join(groups, "norm").select("id", "keep_id", "group_size", F.unhex(F.sha2("norm", 256)).alias("digest"))
     else:
-        found = index.lookup(rows)
-    return found.select(
+        hits = found.hits.select("digest", "keep_id", "group_size")
+        rows = found.rows.join(F.broadcast(hits) if found.few else hits, "digest", "left")
+        alone = F.col("group_size").isNull()
+        rows = rows.select("id", F.when(alone, F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), "digest")
+    return rows.select(
         F.col("id").alias(id_col), F.col("keep_id"), F.col("group_size"), F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")
     )
 
 
-
-
 def first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, with all their columns: one of each group of equal texts; of rows that share id and text, any one.
+    """The rows of docs that stay, with all their columns, whatever their names: one of each group of equal texts.
 
-    The ids that go are joined back to docs; they are sent to every executor if few, else shuffled.
+    Equality and what stays are those of ``exact_groups``: null, empty and blank texts are one group of which one row stays; null ids come
+    last. Of rows that share the staying id and text, any one stays, whatever their other columns hold. An empty table gives an empty
+    result. Only digests are joined to the rows, sent to every executor if few; the texts of groups whose staying row comes several times
+    are shuffled, no others.
     """
-    groups = exact_groups(docs, id_col, text_col)
-    gone = groups.filter((F.col("group_size") > 1)).select(F.col(id_col).alias("copy_id"), F.unhex("text_sha256").alias("copy_digest"), "kept").distinct()
-    few = gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    rows = docs.withColumn("__digest", F.unhex(F.sha2(normalised(F.col(text_col)), 256)))
-    same = F.col(id_col).eqNullSafe(F.col("copy_id")) & (F.col("__digest") == F.col("copy_digest"))
-    joined = rows.join(F.broadcast(gone) if few else gone, same, "left")
-    alone = joined.filter("kept is null").select(*docs.columns)
-    # Rows that share their id as well: those of a staying id and one text are one row.
-    staying = joined.filter("kept").dropDuplicates(["__digest"]).select(*docs.columns)
-    return alone.union(staying)
+    found = indexed(docs, id_col, text_col)
+    own, of, keep, chars = (unused(docs.columns, x) for x in ("digest", "of_digest", "keep_id", "most_chars"))
+    if found is None:
+        rows = docs.withColumn(own, normalised(F.col(text_col)))
+        best = F.min(F.struct((-F.length(F.coalesce(F.col(text_col), F.lit("")))).alias("n"), F.col(id_col).isNull().alias("x"), F.col(id_col).alias("i")))
+        hits = rows.groupBy(own).agg(best.alias("b"), F.count(F.lit(1)).alias("k")).filter("k > 1").select(F.col(own).alias(of), F.col("b.i").alias(keep), (-F.col("b.n")).alias(chars))
+        few = False
+    else:
+        rows, few = docs.withColumn(own, digest_of(F.col(text_col))), found.few
+        hits = found.hits.select(F.col("digest").alias(of), F.col("keep_id").alias(keep), F.col("n_chars").alias(chars))
+    joined = rows.join(F.broadcast(hits) if few else hits, F.col(own) == F.col(of), "left")
+    stays = F.col(id_col).eqNullSafe(F.col(keep)) & (F.length(F.coalesce(F.col(text_col), F.lit(""))) == F.col(chars))
+    alone = joined.filter(F.col(of).isNull()).select(*docs.columns)
+    return alone.union(joined.filter(F.col(of).isNotNull() & stays).dropDuplicates([own]).select(*docs.columns))
