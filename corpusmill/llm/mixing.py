@@ -17,12 +17,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import staged
+from .shared import staged, unused
 
 #: Neighbouring Fibonacci numbers; their ratio is the golden ratio to 18 digits. The lattice repeats after this many slots.
 FIB_45, FIB_46 = 1134903170, 1836311903
-#: Rows of one bucket of a source's stream, and slots of one chunk, about.
+#: Rows of one bucket of a stream, of all sources, and slots of one chunk, about. A bucket is summed in as many parts as a hexadecimal digit has values.
 BUCKET_ROWS, CHUNK_SLOTS = 20_000, 20_000
+#: Copies of a row that are made at a time.
+COPIES = 1000
 #: Slots of a source on the average, and words of a block at least.
 SLOTS, LEAST_BLOCK = 4000, 32
 #: Blocks of a source's target up to which it is taken to the word.
@@ -37,7 +39,12 @@ def word_count(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class Mix:
-    """What ``schedule`` makes. docs: rows with their place in their source's stream; pieces: what each slot takes of each document."""
+    """What ``schedule`` makes.
+
+    docs: the rows, (id, source, size, dg, m, source_size, target, bucket, seq, copy, start); m rows that nothing tells apart have one (source,
+    bucket, seq), and copy numbers them; start is a row's first word in its source's stream. pieces: (source, bucket, seq, copy, slot, epoch,
+    first, words), what each slot takes of each row: ``words`` words from word ``first`` on.
+    """
 
     docs: DataFrame
     targets: DataFrame
@@ -69,18 +76,29 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), total
     return per.withColumn("high", upto / F.nullif(whole, F.lit(0.0))).withColumn("low", F.coalesce(F.lag("high").over(by_name), F.lit(0.0))).select("source", "source_size", "weight", "target", "low", "high")
 
 
-def _stream(docs: DataFrame, n_buckets: int, seed: int) -> DataFrame:
-    """docs with ``start``, each row's first token in its source's shuffled stream, and (bucket, seq), its place."""
-    # A random-looking order that SQL can repeat. Within a bucket rows go by the digest too.
-    docs = docs.withColumn("digest", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit("")))))
-    docs = docs.withColumn("bucket", F.conv(F.substring("digest", 1, 7), 16, 10).cast("long") % n_buckets)
-    per = docs.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
+def _stream(groups: DataFrame, n_buckets: int, seed: int) -> DataFrame:
+    """groups with ``start``, each one's first token in its source's shuffled stream, and (bucket, seq), its place."""
+    # A random-looking order that SQL can repeat. Within a bucket rows go by the digest too, so its parts, by first digit, are in order.
+    named = F.coalesce(F.col("id").cast("string"), F.when(F.col("dg") != 0, F.col("dg").cast("string")), F.lit(""))
+    groups = groups.withColumn("digest", F.md5(F.concat(F.lit(f"{seed}:"), named)))
+    part = F.conv(F.substring("digest", 1, 1), 16, 10).cast("long")
+    groups = groups.withColumn("bucket", F.conv(F.substring("digest", 1, 7), 16, 10).cast("long") % n_buckets * 16 + part).withColumn("whole", F.col("size") * F.col("m"))
+    per = groups.groupBy("source", "bucket").agg(F.sum("whole").alias("n"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("offset"))
-    within = Window.partitionBy("source", "bucket").orderBy("digest", "id", "size")
-    docs = docs.withColumn("seq", F.row_number().over(within)).withColumn("inner", F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    joined = docs.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-    return joined.withColumn("start", F.col("offset") + F.col("inner")).drop("s", "b", "offset", "inner", "digest")
+    within = Window.partitionBy("source", "bucket").orderBy("digest", "id", "size", "dg")
+    groups = groups.withColumn("seq", F.row_number().over(within)).withColumn("inner", F.sum("whole").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("whole"))
+    joined = groups.join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
+    return joined.withColumn("start", F.col("offset") + F.col("inner")).drop("s", "b", "offset", "inner", "digest", "whole")
+
+
+def _copied(groups: DataFrame) -> DataFrame:
+    """A row for each of the m rows of a group, with ``copy`` and its own start. Very many copies are made in several tasks."""
+    once = groups.filter("m = 1").withColumn("copy", F.lit(0).cast("long"))
+    runs = groups.filter("m > 1").withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("m") - 1) / COPIES)))).repartition("source", "bucket", "seq", "run")
+    first = F.col("run") * COPIES
+    several = runs.withColumn("copy", F.explode(F.sequence(first, F.least(first + COPIES, "m") - 1))).drop("run")
+    return once.union(several).withColumn("start", F.col("start") + F.col("copy") * F.col("size"))
 
 
 def _limit(block_words: int) -> Column:
@@ -109,25 +127,27 @@ def _slots(targets: DataFrame, n_slots: int, n_sources: int, block_words: int) -
     return slots.select("source", "slot", (F.col("offset") + F.col("inner")).alias("rank")).union(even)
 
 
-def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (3, 1, 2), total: float = 1.5, max_epochs: int = 2, block_words: int | None = None, seed: int = 0) -> Mix:
+def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = (3, 1, 2), total: float = 1.5, max_epochs: int = 2, block_words: int | None = None, seed: int = 0, tell: Column | None = None) -> Mix:
     """Mixes the rows of docs; see ``Mix``.
 
-    docs of the result: (id, source, size, source_size, target, bucket, seq, start); (source, bucket, seq) tells rows apart even where ids
-    repeat. pieces: (source, bucket, seq, slot, epoch, first, words): of that row, ``words`` words from word ``first`` on are taken by that
-    slot. A source gets its share of the slots, so it takes its target to within a few blocks, to the word if that is under ``FEW_BLOCKS``
-    blocks, and never more than ``max_epochs`` times any row. Null texts have no words; a null source is a source, the last one; null ids shuffle as the empty string. No rows, or no words at
-    all: nothing is taken. ``block_words`` bounds how far a source's words can be from its target and how many slots there are; without it
-    a source has ``SLOTS`` slots on the average, and no block has fewer than ``LEAST_BLOCK`` words.
+    A source gets its share of the slots, so it takes its target to within a few blocks, to the word if that is under ``FEW_BLOCKS``
+    blocks, and never more than ``max_epochs`` times any row. Null texts have no words; a null source is a source, the last one; rows without
+    an id are placed by ``tell``, or else all at one place. No rows, or no words at all: nothing is taken. ``block_words`` bounds how far a
+    source's words can be from its target and how many slots there are; without it a source has ``SLOTS`` slots on the average, and no
+    block has fewer than ``LEAST_BLOCK`` words. Rows of equal id, source and size, and of equal ``tell`` (a long), are counted before they
+    are placed, so that very many of them are no more work than one.
     """
     if (block_words is not None and block_words < 1) or total > max_epochs:
         raise ValueError("blocks need a word at least, and the total can't be above what the epochs allow")
-    rows = staged(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "sizes")
-    n_rows = rows.count()
-    targets = staged(source_targets(rows, weights, total, max_epochs), "targets")
+    told = F.lit(0).cast("long") if tell is None else tell
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), told.alias("dg"))
+    groups = staged(rows.groupBy("id", "source", "size", "dg").agg(F.count(F.lit(1)).alias("m")), "sizes")
+    n_rows = groups.agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0]
+    targets = staged(source_targets(groups.select("source", (F.col("size") * F.col("m")).alias("size")), weights, total, max_epochs), "targets")
     n_sources, words = targets.agg(F.count(F.lit(1)), F.coalesce(F.sum("target"), F.lit(0.0))).first()
-    joined = rows.join(targets.select(F.col("source").alias("s"), "source_size", "target"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    joined = groups.join(targets.select(F.col("source").alias("s"), "source_size", "target"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     block_words = block_words or max(LEAST_BLOCK, int(words) // (max(1, n_sources) * SLOTS))
-    placed = staged(_stream(joined, 1 + n_rows // BUCKET_ROWS, seed), "stream")
+    placed = _copied(staged(_stream(joined, 1 + n_rows // BUCKET_ROWS, seed), "stream"))
     slots = _slots(targets, int(-(-words // block_words)), n_sources, block_words)
 
     # The lattice gives an interval its share of the slots to within DISCREPANCY; later parts of a stream meet no slot.
@@ -138,42 +158,63 @@ def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     parts = turns.withColumn("rank", F.explode(F.sequence(F.floor(F.col("a") / block_words), F.floor((F.col("b") - 1) / block_words))))
     parts = parts.join(slots.withColumnRenamed("source", "s").withColumnRenamed("rank", "r"), F.col("source").eqNullSafe(F.col("s")) & (F.col("rank") == F.col("r")))
     low, high = F.greatest("a", F.col("rank") * block_words), F.least("b", (F.col("rank") + 1) * block_words, _limit(block_words))
-    pieces = parts.filter(low < high).select("source", "bucket", "seq", "slot", "epoch", (low - F.col("a")).alias("first"), (high - low).alias("words"))
+    pieces = parts.filter(low < high).select("source", "bucket", "seq", "copy", "slot", "epoch", (low - F.col("a")).alias("first"), (high - low).alias("words"))
     return Mix(placed, targets, pieces)
 
 
+#: What tells the rows of a mix apart.
+PLACE = ("source", "bucket", "seq", "copy")
+
+
+def _of_rows(mix: Mix, per: DataFrame, how: str) -> DataFrame:
+    """The rows of a mix joined to per, which has their places."""
+    same = F.col("source").eqNullSafe(F.col("__source")) & (F.col("bucket") == F.col("__bucket")) & (F.col("seq") == F.col("__seq")) & (F.col("copy") == F.col("__copy"))
+    return mix.docs.join(per.withColumnsRenamed({c: f"__{c}" for c in PLACE}), same, how)
+
+
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """One row per row of docs: id, size, source_size, target and taken, the words that the mix takes of it, repeats counted."""
+    """One row per row of docs: id, size, source_size, target and taken, the words that the mix takes of it, repeats counted.
+
+    Null texts have size 0, a null source is a source, null ids stay, repeated rows are rows, an empty table gives an empty result; other
+    columns are ignored. The words of rows that share id, source and size may be dealt to them in any order.
+    """
     mix = schedule(docs, id_col, text_col, source_col, **options)
-    per = mix.pieces.groupBy("source", "bucket", "seq").agg(F.sum("words").alias("taken")).select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.col("seq").alias("q"), "taken")
-    same = F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")) & (F.col("seq") == F.col("q"))
-    return mix.docs.join(per, same, "left").select(F.col("id").alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    per = mix.pieces.groupBy(*PLACE).agg(F.sum("words").alias("taken"))
+    return _of_rows(mix, per, "left").select(F.col("id").alias(id_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
 def taken_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", count_col: str | None = "n_chars", **options) -> DataFrame:
-    """The mix itself, with the columns of docs: a row for each time round in which words of it are taken, with these words as its text.
+    """The mix itself, with the columns of docs, whatever their names: a row for each time round in which words of it are taken, with these words as its text.
 
     Mostly that is the whole text as it is; where a source's stream ends within a text, its first words joined by blanks. count_col, where
-    docs have it, becomes the length of the text. Ids tell the rows of docs apart here; rows that share one go by their source and size.
+    docs have it, becomes the length of the text. Rows are told apart by all their columns; those equal in all are each taken by itself. Rows
+    of null, empty or blank texts have no words and go. Rows without an id or a source are rows like others, the null source being the
+    last one. An empty table gives an empty result. Texts are shuffled once; of equal rows only one text is, and the turns of very many
+    of them are dealt to several tasks.
     """
-    mix = schedule(docs, id_col, text_col, source_col, **options)
+    hashed = [F.to_json(c) if docs.schema[c].dataType.simpleString().startswith(("map", "variant")) else F.col(c) for c in docs.columns]
+    tell = F.xxhash64(*hashed, *(F.col(c).isNull() for c in docs.columns))  # nulls leave a hash as it is
+    mix = schedule(docs, id_col, text_col, source_col, tell=tell, **options)
     # Blocks of one turn of a row follow each other, so their words are one span.
-    spans = mix.pieces.groupBy("source", "bucket", "seq", "epoch").agg(F.min("first").alias("first"), F.sum("words").alias("words"))
-    spans = spans.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.col("seq").alias("q"), "epoch", "first", "words")
-    same = F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")) & (F.col("seq") == F.col("q"))
-    # How many rows share what the rows of docs can be told by: each stands for as many.
-    taken = mix.docs.join(spans, same).select("id", F.col("source").alias("of"), F.col("size").alias("n"), "seq", "epoch", "first", "words")
-    turns = taken.groupBy("id", "of", "n").agg(F.collect_list(F.struct("seq", "epoch", "first", "words")).alias("__turns"), F.countDistinct("seq").alias("__rows"))
-    turns = turns.select(F.col("id").alias("__id"), F.col("of").alias("__of"), F.col("n").alias("__n"), "__turns", "__rows")
-    rows = docs.withColumn("__size", word_count(F.col(text_col)))
-    rows = rows.join(turns, F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).eqNullSafe(F.col("__of")) & (F.col("__size") == F.col("__n")))
-    # Of rows that share all three, the turns are dealt to the copies by their text, so that none comes twice.
-    order = Window.partitionBy("__id", "__of", "__n").orderBy(text_col)
-    rows = rows.withColumn("__copy", F.row_number().over(order)).withColumn("__seqs", F.array_sort(F.array_distinct(F.transform("__turns", lambda t: t["seq"]))))
-    rows = rows.withColumn("__seq", F.get("__seqs", F.col("__copy") - 1)).withColumn("__turn", F.explode(F.filter("__turns", lambda t: t["seq"] == F.col("__seq"))))
-    words = F.slice(F.filter(F.split(text_col, r"[\x20\x09-\x0D]+"), lambda w: w != ""), (F.col("__turn.first") + 1).cast("int"), F.col("__turn.words").cast("int"))
-    whole = F.col("__turn.words") == F.col("__size")
-    out = rows.withColumn(text_col, F.when(whole, F.col(text_col)).otherwise(F.array_join(words, " ")))
+    spans = mix.pieces.groupBy(*PLACE, "epoch").agg(F.min("first").alias("first"), F.sum("words").alias("words"))
+    mark = unused(docs.columns, "mix_")
+    kept = ("id", "source", "size", "dg", "m", "copy", "epoch", "first", "words")
+    spans = staged(_of_rows(mix, spans, "inner").select(*(F.col(c).alias(mark + c) for c in kept)), "spans")
+    own, at = (unused([*docs.columns, *spans.columns], x) for x in ("row_", "part"))
+    rows = docs.withColumns({own + "size": word_count(F.col(text_col)), own + "dg": tell})
+    same = (F.col(id_col).eqNullSafe(F.col(mark + "id")) & F.col(source_col).eqNullSafe(F.col(mark + "source"))
+            & (F.col(own + "size") == F.col(mark + "size")) & (F.col(own + "dg") == F.col(mark + "dg")))
+    out = rows.join(spans.filter(F.col(mark + "m") == 1).hint("shuffle_hash"), same)
+    equal = spans.filter(F.col(mark + "m") > 1)
+    if not equal.isEmpty():
+        parts = F.sequence(F.lit(0).cast("long"), F.floor((F.col(own + "m") - 1) / COPIES))
+        counts = equal.groupBy(*(mark + c for c in kept[:4])).agg(F.first(mark + "m").alias(own + "m"))
+        alone = rows.join(counts, same).dropDuplicates([mark + c for c in kept[:4]]).drop(*(mark + c for c in kept[:4])).withColumn(at, F.explode(parts)).drop(own + "m")
+        turns = equal.withColumn(mark + "part", F.floor(F.col(mark + "copy") / COPIES))
+        out = out.select(*docs.columns, *spans.columns).union(alone.join(turns, same & (F.col(at) == F.col(mark + "part"))).select(*docs.columns, *spans.columns))
+    words = F.slice(F.filter(F.split(text_col, r"[\x20\x09-\x0D]+"), lambda w: w != ""), (F.col(mark + "first") + 1).cast("int"), F.col(mark + "words").cast("int"))
+    whole = F.col(mark + "words") == F.col(mark + "size")
+    out = out.withColumn(text_col, F.when(whole, F.col(text_col)).otherwise(F.array_join(words, " ")))
     if count_col in docs.columns:
         out = out.withColumn(count_col, F.length(text_col).cast(docs.schema[count_col].dataType))
     return out.select(*docs.columns)

@@ -72,6 +72,31 @@ def test_rows_of_the_mix(spark):
     assert got == {i: n for i, n in per.items() if n}
 
 
+def test_equal_rows_rows_without_ids_and_clashing_names(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "COPIES", 3)
+    rows = [(None, "a b c", None, 5, 1)] * 40 + [(None, f"x{i} y z", "s", 5, 1) for i in range(40)] + [(7, "q r", "s", i, 1) for i in range(2)]
+    rows += [(8, None, "s", 0, 0), (9, " ", None, 0, 0), (10, "w " * 5000, "s", 3, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_size int, row_dg int")
+    per = mixing.mixed(docs, block_words=4).collect()
+    assert len(per) == len(rows) and sum(r.size for r in per) == sum(size(t) for _, t, *_ in rows)
+    out = mixing.taken_rows(docs, block_words=4)
+    assert out.columns == docs.columns
+    got = out.collect()
+    taken = {}
+    for r in got:
+        key = (r.doc_id, r.source)
+        taken[key] = taken.get(key, 0) + size(r.text)
+    want = {}
+    source = {7: "s", 8: "s", 9: None, 10: "s"}
+    for r in per:
+        key = (r.doc_id, source[r.doc_id] if r.doc_id else (None if r.source_size == 120 else "s"))
+        want[key] = want.get(key, 0) + r.taken
+    assert {k[1]: sum(v for j, v in taken.items() if j[1] == k[1]) for k in taken} == {k[1]: sum(v for j, v in want.items() if j[1] == k[1]) for k in want}
+    whole = [r for r in got if r.source == "s" and r.doc_id is None]
+    assert all(sum(x.text == r.text for x in whole) <= 2 for r in whole)
+    assert mixing.taken_rows(docs.limit(0)).collect() == []
+
+
 def test_source_of_under_one_block(spark):
     rows = [(i, "w " * 1000, "ab"[i % 2]) for i in range(520)] + [(600 + i, "x y", "small") for i in range(4)]
     docs = docs_of(spark, rows)
