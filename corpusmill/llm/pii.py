@@ -14,30 +14,31 @@ from pyspark.sql import functions as F
 
 #: Where a run of these characters begins, or where the last match ended.
 _EDGE = r"(?:(?<![{0}])|\G)"
-#: Characters before a span in which context words count.
+#: Characters before a span, and after it, in which context words count.
 CONTEXT_CHARS = 40
 
 
 @dataclass(frozen=True)
 class Kind:
-    """A kind of personal data. base: spans that stand whatever their score. needs: the text must contain it for a match to be possible."""
+    """A kind of personal data. base: spans that stand whatever their score. needs: the text must contain one of them for a match to be possible. context: words near a span that raise its score."""
 
     name: str
     pattern: str
     base: bool
-    needs: str
+    needs: tuple[str, ...]
     score: float
     context: str
 
 
 KINDS = (
-    Kind("email", _EDGE.format("A-Za-z0-9._%+-") + r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", True, "@", 0.9, r"mail|contact"),
-    Kind("ip", _EDGE.format("0-9") + r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", True, ".", 0.7, r"\bip\b|address|host|server"),
-    Kind("card", r"[0-9](?:[ -]?[0-9])++", True, "", 0.8, r"card|visa|credit|payment"),
-    Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", True, "+", 0.8, r"phone|tel|call|mobile|fax"),
-    Kind("iban", _EDGE.format("A-Z0-9") + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}+(?: ?[A-Z0-9]{1,3})?+(?![A-Z0-9])", False, "", 0.9, r"iban|account|bank"),
-    Kind("ssn", _EDGE.format("0-9-") + r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", False, "-", 0.3, r"ssn|social security"),
-    Kind("local_phone", _EDGE.format("0-9(+-") + r"\(?[0-9]{3}\)?[ -][0-9]{3}-[0-9]{4}(?![0-9-])", False, "-", 0.3, r"phone|tel\b|call|mobile|fax"),
+    Kind("email", _EDGE.format("A-Za-z0-9._%+-") + r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", True, ("@",), 0.9, r"mail|contact"),
+    Kind("ip", _EDGE.format("0-9") + r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", True, (".",), 0.7, r"\bip\b|address|host|server"),
+    Kind("card", r"[0-9](?:[ -]?[0-9])++", True, (), 0.8, r"card|visa|credit|payment"),
+    Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", True, ("+",), 0.8, r"phone|tel|call|mobile|fax"),
+    Kind("iban", _EDGE.format("A-Z0-9") + r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}+(?: ?[A-Z0-9]{1,3})?+(?![A-Z0-9])", False, (), 0.9, r"iban|account|bank"),
+    Kind("ssn", _EDGE.format("0-9-") + r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", False, ("-",), 0.3, r"ssn|social security"),
+    Kind("secret", r"(?i)(?<![A-Za-z0-9_])(?:api[_-]?key|access[_-]?key|auth[_-]?token|token|secret|passw(?:or)?d)[\"']?[ \t]{0,8}[:=][ \t]{0,8}[\"']?[A-Za-z0-9_/+.=-]{16,}+", False, ("oken", "OKEN", "ecret", "ECRET", "assw", "ASSW", "key", "Key", "KEY"), 0.6, r"key|auth|login|credential"),
+    Kind("local_phone", _EDGE.format("0-9(+-") + r"\(?[0-9]{3}\)?[ -][0-9]{3}-[0-9]{4}(?![0-9-])", False, ("-",), 0.3, r"phone|tel\b|call|mobile|fax"),
 )
 #: What a context word adds to a score, and the score that a span outside the base needs.
 CONTEXT_SCORE, LEAST_SCORE = 0.3, 0.55
@@ -81,6 +82,9 @@ def _confirmed(kind: Kind, match: Column) -> Column:
         return F.length(_digits(match)).between(9, 15)
     if kind.name == "iban":
         return F.when(F.length(F.replace(match, F.lit(" "), F.lit(""))).between(15, 34), mod97(match)).otherwise(False)
+    if kind.name == "secret":  # a value of letters and digits, not a word or a number
+        value = F.regexp_extract(match, r"^[^:=]*[:=][ \t\"']*(.*)$", 1)
+        return F.regexp_like(value, F.lit("[0-9]")) & F.regexp_like(value, F.lit("[A-Za-z]")) & (F.size(F.array_distinct(F.split(value, ""))) > 8)
     if kind.name == "ssn":
         return ~F.regexp_like(match, F.lit(r"^(?:000|666|9)|-00-|-0000$"))
     return F.lit(True)
@@ -116,7 +120,9 @@ def found(docs: DataFrame, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
 
 def _with_spans(docs: DataFrame, k: int, kind: Kind) -> DataFrame:
     text = F.col("text")
-    possible = text.contains(kind.needs) if kind.needs else F.lit(True)
+    possible = F.lit(not kind.needs)
+    for part in kind.needs:
+        possible = possible | text.contains(part)
     docs = docs.withColumn("hits", F.when(possible, F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))).otherwise(F.array().cast("array<string>")))
     docs = docs.withColumn("fine", F.transform("hits", lambda m: _confirmed(kind, m)))
     # Where no match passes its check, the places aren't needed.
@@ -127,7 +133,8 @@ def _with_spans(docs: DataFrame, k: int, kind: Kind) -> DataFrame:
 
     def span(x: Column) -> Column:
         start = x["ends"] - F.length(x["hits"])
-        near = F.substring(text, F.greatest(start + 1 - CONTEXT_CHARS, F.lit(1)).cast("int"), F.least(start, F.lit(CONTEXT_CHARS)).cast("int"))
+        before = F.substring(text, F.greatest(start + 1 - CONTEXT_CHARS, F.lit(1)).cast("int"), F.least(start, F.lit(CONTEXT_CHARS)).cast("int"))
+        near = F.concat_ws("\n", before, F.substring(text, (x["ends"] + 1).cast("int"), F.lit(CONTEXT_CHARS)))
         more = F.when(F.regexp_like(F.lower(near), F.lit(kind.context)), F.lit(CONTEXT_SCORE)).otherwise(F.lit(0.0))
         return F.struct(start.alias("start"), F.lit(k).alias("kind"), x["ends"].alias("end"), (F.lit(kind.score) + more).alias("score"))
 
@@ -147,8 +154,9 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per row of docs: id, a count for each base kind, base_sha256, spans; with ``with_spans`` also ``found``, the spans with scores.
 
     Base kinds (email, ip, card, phone) are the leftmost matches that don't overlap, of which those that fail their check are dropped. The
-    other kinds add spans whose check passes and whose score, raised by a context word within ``CONTEXT_CHARS`` characters before, is high
-    enough. Places are code points, ends exclusive; spans go by start, then kind. A null text counts as empty. Repeated rows are treated
+    other kinds (account numbers, social security numbers, local phone numbers, and values that are assigned to names such as token or
+    password) add spans whose check passes and whose score, raised by a context word within ``CONTEXT_CHARS`` characters before or after, is
+    high enough. Places are code points, ends exclusive; spans go by start, then kind. A null text counts as empty. Repeated rows are treated
     alike, null ids stay, an empty table gives an empty result, other columns are ignored. Nothing is shuffled.
     """
     rows = found(docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")), kinds).drop("text")

@@ -51,10 +51,12 @@ def test_added_kinds(spark):
     cases = [
         ("pay to GB82 WEST 1234 5698 7654 32 now", "iban:7:34"), ("pay to GB83 WEST 1234 5698 7654 32 now", ""), ("DE89370400440532013000", "iban:0:22"),
         ("My SSN is 219-09-9999.", "ssn:10:21"), ("part 219-09-9999", ""), ("call (212) 555-0123", "local_phone:5:19"), ("x 212 555-0123", ""),
+        ("219-09-9999 is my ssn", "ssn:0:11"), ("212 555-0123 (phone)", "local_phone:0:12"), ('é token = "04dbebab91ab85687d33" x', "secret:2:31"),
+        ("API_KEY:abcdef0123456789abcdef; broken token = 1234567890123456789", "secret:0:30"), ("password=aaaaaaaaaaaaaaaaaaaa1 tokens = abcdef0123456789abcdef", ""),
     ]
     rows = spark.createDataFrame(list(enumerate(t for t, _ in cases)), "doc_id long, text string")
     out = pii.personal_data(rows, with_spans=True).orderBy("doc_id").collect()
-    got = [",".join(x for x in r.spans.split(",") if x.split(":")[0] in ("iban", "ssn", "local_phone")) for r in out]
+    got = [",".join(x for x in r.spans.split(",") if x.split(":")[0] in ("iban", "ssn", "local_phone", "secret")) for r in out]
     assert got == [w for _, w in cases]
     assert all(s["score"] > pii.LEAST_SCORE for r in out for s in r.found)
 
