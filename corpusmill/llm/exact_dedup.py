@@ -19,7 +19,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import dropped, new_path, staged, unused
+from .shared import dropped, new_path, scratch, staged, unused
 
 #: White space that does not count when texts are compared.
 SPACES = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
@@ -202,20 +202,19 @@ def indexed(docs: DataFrame, id_col: str, text_col: str, broadcast_rows: int = B
     """Builds an index of docs, verifies its hits on the texts, and deletes it. None where a digest has two texts."""
     texts = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("norm"), F.length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_chars"))
     keyed = texts.withColumn("digest", F.unhex(F.sha2(F.col("norm"), 256)))
-    rows = staged(keyed.select("digest", "id", "n_chars"), "digests")
-    index, again = DigestIndex(rows.sparkSession), None
-    for memtable in _memtables(rows):
-        some = index.append(memtable)
-        again = some if again is None else again.union(some)
-    if again is None:
-        return Found(rows, index.lookup(rows.select("digest")), True)
-    hits = staged(index.lookup(again.distinct()), "repeated")
-    index.close()
-    few = hits.limit(broadcast_rows + 1).count() <= broadcast_rows
-    asked = hits.select("digest")
-    copies = keyed.select("digest", "norm").join(F.broadcast(asked) if few else asked, "digest", "left_semi")
-    clash = copies.groupBy("digest", "norm").agg(F.count(F.lit(1)).alias("n")).groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
-    return Found(rows, hits, few) if clash.isEmpty() else None
+    with scratch() as tables:
+        rows = tables.keep(staged(keyed.select("digest", "id", "n_chars"), "digests"))
+        index, again = DigestIndex(rows.sparkSession), None
+        for memtable in _memtables(rows):
+            some = index.append(memtable)
+            again = some if again is None else again.union(some)
+        hits = tables.keep(staged(index.lookup(rows.select("digest") if again is None else again.distinct()), "repeated"))
+        index.close()
+        few = hits.limit(broadcast_rows + 1).count() <= broadcast_rows
+        asked = hits.select("digest")
+        copies = keyed.select("digest", "norm").join(F.broadcast(asked) if few else asked, "digest", "left_semi")
+        clash = copies.groupBy("digest", "norm").agg(F.count(F.lit(1)).alias("n")).groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
+        return Found(rows, hits, few) if clash.isEmpty() else None
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:

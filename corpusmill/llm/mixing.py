@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import staged, unused
+from .shared import scratch, staged, unused
 
 #: Neighbouring Fibonacci numbers; their ratio is the golden ratio to 18 digits. The lattice repeats after this many slots.
 FIB_45, FIB_46 = 1134903170, 1836311903
@@ -194,12 +194,13 @@ def taken_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     hashed = [F.to_json(c) if docs.schema[c].dataType.simpleString().startswith(("map", "variant")) else F.col(c) for c in docs.columns]
     tell = F.xxhash64(*hashed, *(F.col(c).isNull() for c in docs.columns))  # nulls leave a hash as it is
-    mix = schedule(docs, id_col, text_col, source_col, tell=tell, **options)
-    # Blocks of one turn of a row follow each other, so their words are one span.
-    spans = mix.pieces.groupBy(*PLACE, "epoch").agg(F.min("first").alias("first"), F.sum("words").alias("words"))
     mark = unused(docs.columns, "mix_")
     kept = ("id", "source", "size", "dg", "m", "copy", "epoch", "first", "words")
-    spans = staged(_of_rows(mix, spans, "inner").select(*(F.col(c).alias(mark + c) for c in kept)), "spans")
+    with scratch() as tables:
+        mix = schedule(docs, id_col, text_col, source_col, tell=tell, **options)
+        # Blocks of one turn of a row follow each other, so their words are one span.
+        spans = mix.pieces.groupBy(*PLACE, "epoch").agg(F.min("first").alias("first"), F.sum("words").alias("words"))
+        spans = tables.keep(staged(_of_rows(mix, spans, "inner").select(*(F.col(c).alias(mark + c) for c in kept)), "spans"))
     own, at = (unused([*docs.columns, *spans.columns], x) for x in ("row_", "part"))
     rows = docs.withColumns({own + "size": word_count(F.col(text_col)), own + "dg": tell})
     same = (F.col(id_col).eqNullSafe(F.col(mark + "id")) & F.col(source_col).eqNullSafe(F.col(mark + "source"))

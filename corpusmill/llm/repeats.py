@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytes_np as B
-from .shared import dropped, importable, staged
+from .shared import dropped, importable, scratch, staged
 
 #: Bits of a place within a block, in the lower end of a seed's key; a block has fewer items.
 PLACE_BITS = 24
@@ -237,22 +237,24 @@ def spans(rows: DataFrame, kind: Kind, together: int = TOGETHER) -> DataFrame:
     return simple.union(joined.filter(settled | F.col("a").isNotNull()).select("id", "dg", start.alias("start"), end.alias("end")))
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", share: int = HOT_SHARE) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", share: int = HOT_SHARE, salt_by: tuple[str, ...] = ("id", "dg", "lo")) -> DataFrame:
     """left joined to right, which has each key once and how many rows of left have it (``k``). k is dropped.
 
     Hot keys are known by k and fewer than ``share``, so they are sent to every executor; there, rows of left that have one are dealt out
-    by a salt, and the row of right is given under every salt. right is read three times and should be a staged table.
+    by a salt of their columns ``salt_by``, and the row of right is given under every salt. right is read three times and should be a staged table.
     """
     total = right.agg(F.coalesce(F.sum("k"), F.lit(0))).first()[0]
     hot = right.filter(F.col("k") > max(1, total // share)).select(*keys, F.lit(True).alias("__hot"))
-    dealt = left.join(F.broadcast(hot), keys, "left").withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64("id", "dg", "lo"), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))).drop("__hot")
+    dealt = left.join(F.broadcast(hot), keys, "left").withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(*salt_by), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))).drop("__hot")
     salts = F.when(F.col("k") > max(1, total // share), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
     return dealt.join(right.withColumn("__salt", F.explode(salts)).drop("k"), [*keys, "__salt"], how).drop("__salt")
 
 
-def gathered(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """rows with ``spans``, the list of their spans or null. A text's list is bounded by its length."""
-    lists = found.distinct().groupBy("id", "dg").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+def gathered(rows: DataFrame, kind: Kind, together: int = TOGETHER) -> DataFrame:
+    """rows with ``spans``, the list of what repeated windows cover or null. A text's list is bounded by its length."""
+    with scratch() as tables:
+        found = tables.keep(staged(spans(rows, kind, together).distinct(), "spans"))
+    lists = found.groupBy("id", "dg").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     return rows.join(lists, ["id", "dg"], "left")
 
 

@@ -31,23 +31,53 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Paths of the tables staged within each open ``scratch``, the innermost last.
+_OPEN: list[list[tuple[SparkSession, str]]] = []
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Writes the rows as Parquet to the shared folder and reads them again: lineage ends there, and lost executors lose nothing."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    if _OPEN:
+        _OPEN[-1].append((spark, path))
     df.write.parquet(path)
     found = spark.read.schema(df.schema).parquet(path)
     found.staged_path = path
     return found
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def dropped(df: DataFrame) -> None:
     """Deletes a staged table that no later plan reads."""
     path = getattr(df, "staged_path", None)
     if path:
-        spark = df.sparkSession
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        _delete(df.sparkSession, path)
+
+
+class scratch:
+    """Within it, staged tables are scratch: at its end, by an error too, all are deleted but those given to ``keep``, which pass to the scratch around it."""
+
+    def __enter__(self) -> scratch:
+        self._kept: set[str] = set()
+        _OPEN.append([])
+        return self
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self._kept.add(df.staged_path)
+        return df
+
+    def __exit__(self, *error) -> None:
+        own = _OPEN.pop()
+        for spark, path in own:
+            if path not in self._kept or error[0] is not None:
+                _delete(spark, path)
+            elif _OPEN:
+                _OPEN[-1].append((spark, path))
 
 
 def unused(columns: list[str], name: str) -> str:

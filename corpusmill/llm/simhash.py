@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from . import bytes_np as B
 from . import similar
 from .components import components
-from .shared import importable, staged
+from .shared import importable, scratch, staged, unused
 
 BITS = 64
 #: Words of a shingle in general use; the query has its own.
@@ -288,30 +288,36 @@ def near_duplicates(
     shingle. Ids are integers; rows without one link nothing and have no component. Repeated rows link to each other as copies. An empty
     table gives an empty result; other columns are ignored.
     """
-    prints = staged(fingerprints(docs, id_col, text_col, shingle).select(F.col("id").cast("long"), "fp"), "fingerprints")
-    distinct = staged(prints.filter("id is not null").groupBy("fp").agg(F.min("id").alias("rep")), "distinct")
-    nodes = prints.select("id", "fp").join(distinct, "fp", "left")
-    if distinct.isEmpty():
-        named = nodes.select("id", "fp", F.lit(None).cast("long").alias("component_id"))
-    elif similarity is None:
-        comps = components(links(distinct, distance, run))
-        of_print = distinct.join(comps, distinct["rep"] == comps["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
+    with scratch() as tables:
+        prints = tables.keep(staged(fingerprints(docs, id_col, text_col, shingle).select(F.col("id").cast("long"), "fp"), "fingerprints"))
+        distinct = staged(prints.filter("id is not null").groupBy("fp").agg(F.min("id").alias("rep")), "distinct")
+        if similarity is None:
+            comps = components(links(distinct, distance, run)) if not distinct.isEmpty() else distinct.selectExpr("rep as node", "rep as component")
+            of_print = tables.keep(staged(distinct.join(comps, distinct["rep"] == comps["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id")), "components"))
+        elif not distinct.isEmpty():
+            rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null")
+            copies = prints.join(distinct, "fp").filter("id <> rep").select(F.col("rep").alias("u"), F.col("id").alias("v"))
+            comps = tables.keep(staged(components(links(distinct, distance, run).union(copies).union(similar.links(rows, similarity, shingle))), "components"))
+        else:
+            comps = tables.keep(staged(distinct.selectExpr("rep as node", "rep as component"), "components"))
+    if similarity is None:
         named = prints.join(of_print, "fp", "left")
     else:
-        rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).filter("id is not null")
-        copies = nodes.filter("id <> rep").select(F.col("rep").alias("u"), F.col("id").alias("v"))
-        comps = components(links(distinct, distance, run).union(copies).union(similar.links(rows, similarity, shingle)))
         named = prints.join(comps, prints["id"] == comps["node"], "left").select("id", "fp", F.coalesce("component", "id").alias("component_id"))
     own = F.when(F.col("id").isNotNull(), F.col("component_id"))
     return named.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), own.alias("component_id"))
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS, distance: int = 2, run: int = RUN, similarity: float | None = SIMILARITY) -> DataFrame:
-    """The rows of docs that stay, with all their columns: of each group of near-duplicates those of the smallest id, and those without an id.
+    """The rows of docs that stay, with all their columns, whatever their names: of each group of near-duplicates those of the smallest id, and those without an id.
 
-    Only the ids that go are joined to the rows; they are sent to every executor if few, else shuffled.
+    Null, empty and blank texts have fingerprint 0, and so are one group. Rows that share the staying id all stay. An empty table gives an
+    empty result. Only the ids that go are joined to the rows; they are sent to every executor if few, else shuffled.
     """
-    found = near_duplicates(docs, id_col, text_col, shingle, distance, run, similarity)
-    gone = staged(found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("gone_id")).distinct(), "near-copies")
+    with scratch() as tables:
+        found = near_duplicates(docs, id_col, text_col, shingle, distance, run, similarity)
+        gone = tables.keep(staged(found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("gone_id")).distinct(), "near-copies"))
     few = gone.count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(gone) if few else gone, docs[id_col] == gone["gone_id"], "left_anti")
+    mark = unused(docs.columns, "gone_id")
+    gone = gone.withColumnRenamed("gone_id", mark)
+    return docs.join(F.broadcast(gone) if few else gone, F.col(id_col) == F.col(mark), "left_anti")

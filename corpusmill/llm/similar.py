@@ -1,18 +1,23 @@
-"""Links between texts whose sets of word shingles have a Jaccard similarity of at least a threshold.
+"""Links between texts whose sets of word shingles have a Jaccard similarity of at least a threshold, all of them.
 
 64-bit fingerprints can't tell such pairs: at a similarity of 0.8 they differ in about ten bits, and looking within so many bits would
-compare a fixed share of all pairs. So candidates come from MinHash bands, and are verified on the shingle sets themselves. Equal sets
-are one; all pairs of distinct sets that share a band value are decided.
-
-Values that few sets share have their pairs compared one by one. The sets of fuller values are first compared with three of them, of
-smallest and largest id and the one whose band values are the most common, as an original's are among its copies. What that leaves in
+compare a fixed share of all pairs. So candidates come from another use of the pigeonhole principle, on the sets themselves, which loses
+none: with all shingles in one order, two sets that are so similar share one of the first n - ceil(threshold * n) + 1 shingles of each
+(Chaudhuri et al., "A Primitive Operator for Similarity Joins in Data Cleaning"; Xiao et al., "Efficient Similarity Joins for Near
+Duplicate Detection"). Rarer shingles come first, so that what many texts share seldom makes a candidate; how common a shingle is, is
+told by a sketch of counts over all texts, whose size doesn't depend on them. Equal sets are one. Sizes and the places of the shared
+shingle rule out most candidates, the others are verified on the sets.
+
+Shingles that few sets share have their pairs compared one by one. The sets of fuller ones are first compared with three of them, of
+smallest and largest id and the one that shares most with others, as an original does with its copies. What that leaves in
 different components is compared in full, in blocks of bounded size: each pair of blocks is one product of matrices, and gives no more
-links than it has texts. Only the texts outside a value's largest component take part in that, each with all others.
+links than it has texts. Only the texts outside a shingle's largest component take part in that, each with all others.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,13 +27,14 @@ from pyspark.sql import functions as F
 
 from . import bytes_np as B
 from .components import components
-from .shared import importable, staged
+from .repeats import salted_join
+from .shared import dropped, importable, staged
 
-#: Bands and values of a band. Two texts of similarity s share a band with chance 1 - (1 - s ** ROWS) ** BANDS: 0.9998 at 0.8.
-BANDS, ROWS = 16, 4
+#: Bits of a cell's number in the sketch of counts: 256 KB for each executor and 3 MB for the driver, whatever the input.
+CELL_BITS = 18
 #: Candidates' ids up to which they are sent to every executor (16 MB at most); more are shuffled.
 BROADCAST_ROWS = 1_000_000
-#: Sets that share a band value and are compared pair by pair, at most.
+#: Sets that share a shingle and are compared pair by pair, at most.
 RUN = 16
 #: Texts and shingles of a block, about, and shingles that are columns of one product.
 BLOCK_ROWS, BLOCK_GRAMS, COLUMNS = 512, 200_000, 512
@@ -52,39 +58,59 @@ def shingles(data: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.n
     return B.mix(roll.of(a, a + size) + size.astype(np.uint64)), row
 
 
-def band_keys(hashes: np.ndarray, row: np.ndarray, n_rows: int) -> np.ndarray:
-    """The band values of each row, a column for each band; rows without shingles have 0."""
-    out = np.zeros((n_rows, BANDS), dtype=np.uint64)
-    if not len(row):
-        return out
-    first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-    own, k = row[first], 0
-    for b in range(BANDS):
-        key = np.full(len(own), b, dtype=np.uint64)
-        for _ in range(ROWS):
-            k += 1
-            mult = np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64) | 1)
-            h = (hashes ^ (hashes >> np.uint64(29 + k % 5))) * mult
-            key = B.mix(key * np.uint64(31) + np.minimum.reduceat(h ^ (h >> np.uint64(32)), first))
-        out[own, b] = key
-    return out
+def distinct(hashes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different hashes of each row, in order of row and hash."""
+    order = np.lexsort((hashes, row))
+    h, r = hashes[order], row[order]
+    new = np.ones(len(h), dtype=bool)
+    new[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
+    return h[new], r[new]
+
+
+def _cell(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+
+def commonness(docs: DataFrame, n: int) -> np.ndarray:
+    """For each cell of hashes how common they are: by how many powers of two its count over all texts is above the mean of all cells."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << CELL_BITS, dtype=np.int64)
+        for batch in batches:
+            for _, _, data, at in B.chunks(batch.column(1)):
+                total += np.bincount(_cell(distinct(*shingles(data, at, n))[0]), minlength=len(total))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["cell", "n"])
 
+    found = docs.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    count = np.zeros(1 << CELL_BITS)
+    count[found["cell"].to_numpy()] = found["n"].to_numpy()
+    return np.log2(np.maximum(count / max(1.0, count.mean()), 1.0)).astype(np.uint8)
+
+
+def prefixes(h: np.ndarray, row: np.ndarray, common: np.ndarray, threshold: float, n_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(shingles, how many of them each row has, size of each row's set): the rarest shingles of each set, of which similar sets share one."""
+    size = np.bincount(row, minlength=n_rows)
+    need = np.where(size > 0, size - np.ceil(threshold * size - 1e-9).astype(np.int64) + 1, 0)
+    order = np.lexsort((common[_cell(h)], row))  # stable: hashes stay in order where they are as common
+    place = np.arange(len(h)) - np.repeat(np.cumsum(size) - size, size)
+    return h[order][place < need[row]], need, size
+
+
+def _prefixed(docs: DataFrame, n: int, threshold: float) -> DataFrame:
+    """(id, n, digest, keys) of each row with a set that isn't empty: its size, a digest of the set, and its prefix in order."""
+    common = docs.sparkSession.sparkContext.broadcast(commonness(docs, n))
 
-def _bands(docs: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, at in B.chunks(batch.column(1)):
-                h, row = shingles(data, at, n)
-                some, first = np.unique(row, return_index=True)
-                sizes, digests = [], []
-                for a, b in zip(first, [*first[1:], len(h)], strict=True):
-                    grams = np.unique(h[a:b])
-                    sizes.append(len(grams))
-                    digests.append(hashlib.blake2b(grams, digest_size=16).digest())
-                size, digest = pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())
-                keys = band_keys(h, row, j - i)[some].view(np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)), pa.array(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i).take(pa.array(some)), size, digest, lists], ["id", "n", "digest", "keys"])
+                h, row = distinct(*shingles(data, at, n))
+                keys, many, size = prefixes(h, row, common.value, threshold, j - i)
+                some, cuts = np.flatnonzero(size), np.r_[0, np.cumsum(size)]
+                digests = [hashlib.blake2b(h[cuts[k] : cuts[k + 1]], digest_size=16).digest() for k in some]
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(many[some])].astype(np.int32)), pa.array(keys.view(np.int64)))
+                ids = batch.column(0).slice(i, j - i).take(pa.array(some))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(size[some]), pa.array(digests, pa.binary()), lists], ["id", "n", "digest", "keys"])
 
     return docs.mapInArrow(run, "id long, n long, digest binary, keys array<long>")
 
@@ -171,64 +197,84 @@ def _across(cells: DataFrame, threshold: float) -> DataFrame:
         a, b = _forest(near)
         return pa.table({"u": ids[left[a]], "v": ids[right[b]]})
 
-    return cells.groupBy("band", "key", "i", "j").applyInArrow(run, "u long, v long")
+    return cells.groupBy("key", "i", "j").applyInArrow(run, "u long, v long")
 
 
 def _cells(crowd: DataFrame) -> DataFrame:
-    """(band, key, i, j, own, id, comp): the rows of crowd (band, key, id, n, comp, members, mark) in every cell of blocks that they are compared in.
+    """(key, i, j, own, id, comp): the rows of crowd (key, id, n, comp, members, mark) in every cell of blocks that they are compared in.
 
-    A band value whose texts are of one component has none, and of values with the same texts one has. The largest component of a value
+    A shingle whose texts are of one component has none, and of shingles with the same texts one has. The largest component of a shingle
     needs no comparison with itself: its blocks, which come after those of the others, meet only theirs.
     """
-    parts = crowd.groupBy("band", "key", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("g"), F.first("members").alias("members"), F.first("mark").alias("mark"))
-    whole = parts.groupBy("band", "key").agg(F.max(F.struct("c", "comp", "g")).alias("main"), F.sum("c").alias("c"), F.sum("g").alias("g"), F.first("members").alias("members"), F.first("mark").alias("mark"))
-    whole = whole.filter(F.col("c") > F.col("main.c")).groupBy("members", "mark").agg(F.min(F.struct("band", "key", "main", "c", "g")).alias("x")).select("x.*")
+    parts = crowd.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("g"), F.first("members").alias("members"), F.first("mark").alias("mark"))
+    whole = parts.groupBy("key").agg(F.max(F.struct("c", "comp", "g")).alias("main"), F.sum("c").alias("c"), F.sum("g").alias("g"), F.first("members").alias("members"), F.first("mark").alias("mark"))
+    whole = whole.filter(F.col("c") > F.col("main.c")).groupBy("members", "mark").agg(F.min(F.struct("key", "main", "c", "g")).alias("x")).select("x.*")
 
     def blocks(c, g):
         return F.ceil(F.greatest(c / BLOCK_ROWS, g / BLOCK_GRAMS))
 
     rest, main = blocks(F.col("c") - F.col("main.c"), F.col("g") - F.col("main.g")), blocks(F.col("main.c"), F.col("main.g"))
-    plans = whole.select("band", "key", F.col("main.comp").alias("largest"), rest.alias("rest"), main.alias("main"))
-    rows = crowd.select("band", "key", "id", "comp").join(plans, ["band", "key"])
+    plans = whole.select("key", F.col("main.comp").alias("largest"), rest.alias("rest"), main.alias("main"))
+    rows = crowd.select("key", "id", "comp").join(plans, "key")
     inside, salt = F.col("comp") == F.col("largest"), F.xxhash64("id")
     rows = rows.withColumn("own", F.when(inside, F.col("rest") + F.pmod(salt, "main")).otherwise(F.pmod(salt, "rest")))
     last = F.when(inside, F.col("rest")).otherwise(F.col("rest") + F.col("main")) - 1
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    return rows.select("band", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "comp")
+    return rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "comp")
+
+
+def _candidates(calm: DataFrame, threshold: float) -> DataFrame:
+    """(id, other) of rows of calm (key, id, n, pos) that share a key and, by sizes and places, may be similar.
+
+    Of two sets, at most as many shingles are shared as come before the key in both, the key, and those that come after it in the lesser one.
+    """
+    right = calm.select("key", F.col("id").alias("other"), F.col("n").alias("m"), F.col("pos").alias("at"))
+    shared = F.least("pos", "at") + 1 + F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("at")) - 1
+    enough = shared >= F.lit(threshold / (1 + threshold)) * (F.col("n") + F.col("m")) - 1e-6
+    sizes = F.least("n", "m") >= F.lit(threshold) * F.greatest("n", "m") - 1e-6
+    return calm.join(right, "key").filter((F.col("id") < F.col("other")) & sizes & enough).select("id", "other")
 
 
 def links(docs: DataFrame, threshold: float = 0.8, shingle: int = 5) -> DataFrame:
-    """(u, v) of ids of docs (id, text) with ids whose similarity is at least the threshold, enough to connect all such pairs that share a band value.
+    """(u, v) of ids of docs (id, text) with ids whose similarity is at least the threshold, enough to connect all such pairs.
 
-    They are all these pairs, u < v, but for texts of equal sets, which hang on the smallest id, and for band values of over ``RUN`` sets.
+    They are all these pairs, u < v, but for texts of equal sets, which hang on the smallest id, and for shingles that over ``RUN`` sets have
+    in their prefixes. Texts without a word link nothing here. Rows that share an id are one text each, and linked as that id.
     """
     importable(docs.sparkSession)
-    bands = staged(_bands(docs, shingle), "bands")
-    distinct = staged(bands.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys")), "distinct-sets")
-    copies = bands.join(distinct.select("digest", F.col("id").alias("u")), "digest").filter("id <> u").select("u", F.col("id").alias("v")).distinct()
-    rows = distinct.select("id", "n", F.posexplode("keys").alias("band", "key"))
-    shared = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("a"), F.max("id").alias("b"), F.bit_xor(F.xxhash64("id")).alias("mark"))
-    rows = staged(rows.join(shared.filter("members > 1"), ["band", "key"]), "shared-bands")
-    calm, crowd = rows.filter(F.col("members") <= RUN).select("band", "key", "id"), rows.filter(F.col("members") > RUN)
-    pairs = calm.join(calm.select("band", "key", F.col("id").alias("other")), ["band", "key"]).filter("id < other").select("id", "other")
+    rows = staged(_prefixed(docs, shingle, threshold), "prefixes")
+    sets = staged(rows.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys")), "distinct-sets")
+    copies = staged(rows.select("id", "digest").join(sets.select("digest", F.col("id").alias("u")), "digest").filter("id <> u").select("u", F.col("id").alias("v")).distinct(), "copies")
+    dropped(rows)
+    every = sets.select("id", "n", F.posexplode("keys").alias("pos", "key"))
+    shared = staged(every.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key", "k", F.col("k").alias("members")), "shared-shingles")
+    rows = staged(salted_join(every, shared, ["key"], salt_by=("id",)), "shared-prefixes")
+    dropped(shared)
+    calm, crowd = rows.filter(F.col("members") <= RUN).select("key", "id", "n", "pos"), rows.filter(F.col("members") > RUN)
+    pairs = _candidates(calm, threshold)
     crowded = not crowd.isEmpty()
     if crowded:
-        common = rows.groupBy("id").agg(F.sum("members").alias("common"))
-        best = crowd.join(common, "id").groupBy("band", "key").agg(F.max(F.struct("common", "id")).getField("id").alias("c"))
-        ends = crowd.join(best, ["band", "key"]).select("id", F.explode(F.array("a", "b", "c")).alias("other"))
+        stats = crowd.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.bit_xor(F.xxhash64("id")).alias("mark"))
+        most = rows.groupBy("id").agg(F.sum("members").alias("common"))
+        best = crowd.join(most, "id").groupBy("key").agg(F.max(F.struct("common", "id")).getField("id").alias("c"))
+        per = staged(stats.join(best, "key"), "crowded-shingles")
+        ends = crowd.join(per, "key").select("id", F.explode(F.array("a", "b", "c")).alias("other"))
         pairs = pairs.union(ends.filter("id <> other"))
     pairs = staged(pairs.select(F.least("id", "other").alias("u"), F.greatest("id", "other").alias("v")).distinct(), "pairs")
-    asked = staged(pairs.select(F.col("u").alias("asked")).union(pairs.select("v")).distinct(), "asked")
+    asked = pairs.select(F.col("u").alias("asked")).union(pairs.select("v"))
+    if crowded:
+        asked = asked.union(crowd.select("id"))
+    asked = staged(asked.distinct(), "asked")
     few = asked.count() <= BROADCAST_ROWS
     texts = docs.join(F.broadcast(asked) if few else asked, docs["id"] == asked["asked"], "left_semi").distinct()
-    sets = staged(_sets(texts, shingle), "sets")
-    joined = pairs.join(sets.select(F.col("id").alias("u"), F.col("grams").alias("p")), "u").join(sets.select(F.col("id").alias("v"), F.col("grams").alias("q")), "v").select("u", "v", "p", "q")
+    grams = staged(_sets(texts, shingle), "sets")
+    joined = pairs.join(grams.select(F.col("id").alias("u"), F.col("grams").alias("p")), "u").join(grams.select(F.col("id").alias("v"), F.col("grams").alias("q")), "v").select("u", "v", "p", "q")
     found = _verified(joined, threshold)
     if crowded:
         found = staged(found, "similar")
         comps = components(found.union(copies))
-        crowd = crowd.join(comps, crowd["id"] == comps["node"], "left").withColumn("comp", F.coalesce("component", "id"))
-        cells = staged(_cells(crowd.select("band", "key", "id", "n", "comp", "members", "mark")), "cells")
+        crowd = crowd.join(per.select("key", "mark"), "key").join(comps, crowd["id"] == comps["node"], "left").withColumn("comp", F.coalesce("component", "id"))
+        cells = staged(_cells(crowd.select("key", "id", "n", "comp", "members", "mark")), "cells")
         if not cells.isEmpty():
-            found = found.union(_across(cells.join(sets, "id"), threshold))
+            found = found.union(_across(cells.join(grams, "id"), threshold))
     return found.union(copies)

@@ -90,7 +90,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bits together. Very long texts are whole: their words and spans are held in one task, texts aren't. An empty table gives an empty result; other columns are ignored.
     """
     rows = repeats.keyed(docs, id_col, text_col)
-    found = repeats.gathered(rows, repeats.spans(rows, kind_of(length, seed), together))
+    found = repeats.gathered(rows, kind_of(length, seed), together)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import staged
+from .shared import scratch, staged
 
 #: Rules up to which they become one conditional expression; more are joined by the suffixes of hosts.
 INLINE_RULES = 256
@@ -254,7 +254,8 @@ def learned(known: DataFrame, sample_rows: int = SAMPLE_ROWS, **options) -> tupl
     stats = suffix_statistics(known.withColumn("suffix", F.regexp_extract("host", r"[^.]*$", 0)))
     if not stats.rows:
         return stats, Trees(0.0, ())
-    return stats, fit(stats.joined(_lexical(sampled(known, sample_rows, stats.rows))), **options)
+    with scratch():
+        return stats, fit(stats.joined(_lexical(sampled(known, sample_rows, stats.rows))), **options)
 
 
 def _scored(rows: DataFrame, model: tuple[Suffixes, Trees]) -> DataFrame:

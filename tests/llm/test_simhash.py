@@ -162,11 +162,13 @@ def test_original_of_middle_id_and_its_copies(spark):
     assert {r.node for r in got} == set(range(1, len(texts))) and {r.component for r in got} == {0}
 
 
-def test_crowded_bands_against_brute_force(spark, monkeypatch):
+def test_crowded_shingles_against_brute_force(spark, monkeypatch):
     from corpusmill.llm import similar
     from corpusmill.llm.components import components
 
-    monkeypatch.setattr(similar, "RUN", 2)
+    # Every shared shingle is crowded, and the first comparison finds nothing, so that all is left to the blocks.
+    monkeypatch.setattr(similar, "RUN", 1)
+    monkeypatch.setattr(similar, "_verified", lambda joined, t: joined.select("u", "v").limit(0))
     monkeypatch.setattr(similar, "BLOCK_ROWS", 8)
     monkeypatch.setattr(similar, "COLUMNS", 64)
     rng = random.Random(6)
@@ -200,3 +202,45 @@ def test_chain_and_star_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (101, 100)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, **{i: 100 for i in range(101, 160)}}
+
+
+def test_pairs_that_share_four_fifths_of_their_words(spark):
+    """Texts of one boilerplate and a part of their own, in pairs that are similar and pairs that just aren't; sizes differ too."""
+    from corpusmill.llm import similar
+    from corpusmill.llm.components import components
+
+    rng = random.Random(12)
+    boiler = [f"b{i}" for i in range(160)]
+    texts = []
+    for g in range(300):
+        own = [f"o{g}x{i}" for i in range(40)]
+        first = boiler + own
+        second = list(first)
+        for k in rng.sample(range(len(first) - 5), rng.randint(0, 7)):
+            second[k] = f"e{rng.getrandbits(40)}"
+        texts += [" ".join(first), " ".join(second[: len(second) - rng.randint(0, 30)])]
+    sets = [grams_of(t) for t in texts]
+    near = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    want = [(i, j) for j in range(len(texts)) for i in range(j) if near(sets[i], sets[j])]
+    assert 100 < sum(j == i + 1 and i % 2 == 0 for i, j in want) < 300
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = {(r.u, r.v) for r in similar.links(docs).collect()}
+    assert {tuple(sorted(x)) for x in got} <= set(want)
+    linked = lambda pairs: {r.node: r.component for r in components(spark.createDataFrame(sorted(pairs), "u long, v long")).collect()}
+    assert linked(got) == linked(want)
+
+
+def test_stage_with_odd_rows(spark):
+    import os
+
+    from corpusmill.llm.shared import shared_dir
+
+    long = " ".join(f"w{i}" for i in range(60_000))
+    rows = [(5, None, 1), (4, " ", 2), (None, long, 3), (8, long, 4), (7, long + " end", 5), (7, "apart from all that", 6), (7, "apart from all that", 6), (None, None, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, gone_id int")
+    before = set(os.listdir(shared_dir(spark)))
+    left = simhash.representatives(docs)
+    assert {f.split("-")[0] for f in set(os.listdir(shared_dir(spark))) - before} == {"near"}
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.gone_id) for r in left.collect()) == [(0, 3), (0, 7), (4, 2), (7, 5), (7, 6), (7, 6)]
+    assert simhash.representatives(docs.limit(0)).collect() == []
