@@ -12,14 +12,16 @@ asked by one join, without any UDF. Hits are verified on the bytes of the normal
 
 from __future__ import annotations
 
+import functools
 import json
 import uuid
+from collections.abc import Iterable
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import dropped, new_path, scratch, staged, unused
+from .shared import new_path, scratch, staged, unused
 
 #: White space that does not count when texts are compared.
 SPACES = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
@@ -47,12 +49,19 @@ def digest_of(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class Run:
-    """A sorted run: its folder, its level, how many digests it has and how many blocks its filter has."""
+    """A sorted run: its folder, its level, how many digests it has, how many blocks its filter has, and the type of its ids."""
 
     path: str
     level: int
     digests: int
     blocks: int
+    id_type: str
+
+    def entries(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(f"digest binary, keep_id {self.id_type}, n_chars long, group_size long").parquet(f"{self.path}/data")
+
+    def filter(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema("block long, w0 long, w1 long, w2 long, w3 long").parquet(f"{self.path}/filter")
 
 
 def _entries(rows: DataFrame) -> DataFrame:
@@ -62,6 +71,10 @@ def _entries(rows: DataFrame) -> DataFrame:
     return per.select("digest", F.col("best.id").alias("keep_id"), (-F.col("best.less")).alias("n_chars"), "group_size")
 
 
+def _all(tables: Iterable[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.union, tables)
+
+
 def _place(blocks: int) -> Column:
     return F.xxhash64("digest").bitwiseAND(F.lit(blocks - 1))
 
@@ -112,20 +125,19 @@ class DigestIndex:
             self._fs.delete(self._hadoop(path), True)
 
     def _flush(self, entries: DataFrame, level: int) -> Run:
-        where = f"{self.path}/runs/{level}-{uuid.uuid4().hex}"
-        entries.sortWithinPartitions("digest").write.parquet(f"{where}/data")
-        digests = self.spark.read.parquet(f"{where}/data").select("digest")
-        n = digests.count()
-        blocks = 1 << max(0, (n * FILTER_BITS // 256).bit_length())
+        where, seen = f"{self.path}/runs/{level}-{uuid.uuid4().hex}", Observation()
+        entries.observe(seen, F.count(F.lit(1)).alias("n")).sortWithinPartitions("digest").write.parquet(f"{where}/data")
+        n = seen.get["n"]
+        run = Run(where, level, n, 1 << max(0, (n * FILTER_BITS // 256).bit_length()), entries.schema["keep_id"].dataType.simpleString())
         words = [F.bit_or(_bit(w)).alias(f"w{w}") for w in range(4)]
-        digests.groupBy(_place(blocks).alias("block")).agg(*words).write.parquet(f"{where}/filter")
-        return Run(where, level, n, blocks)
+        run.entries(self.spark).groupBy(_place(run.blocks).alias("block")).agg(*words).write.parquet(f"{where}/filter")
+        return run
 
     def append(self, rows: DataFrame) -> DataFrame:
         """Flushes rows of (digest binary, id, n_chars) as a run. Returns the digests of rows that aren't the only ones of theirs, each once."""
         entries = _entries(rows.select("digest", F.col("id").alias("keep_id"), "n_chars", F.lit(1).cast("long").alias("group_size")))
         run = self._flush(entries, 0)
-        own = self.spark.read.parquet(f"{run.path}/data")
+        own = run.entries(self.spark)
         again = own.filter("group_size > 1").select("digest").union(self.lookup(own.select("digest")).select("digest"))
         hits = staged(again.distinct(), "hits")
         self._commit([*self.runs, run])
@@ -138,35 +150,30 @@ class DigestIndex:
         while any(r.level >= level for r in self.runs):
             due = [r for r in self.runs if r.level == level]
             if len(due) >= self.fanout:
-                merged = self._flush(_entries(self.spark.read.parquet(*(f"{r.path}/data" for r in due))), level + 1)
+                merged = self._flush(_entries(_all(r.entries(self.spark) for r in due)), level + 1)
                 self._commit([*(r for r in self.runs if r.level != level), merged])
             level += 1
 
     def candidates(self, digests: DataFrame, run: Run) -> DataFrame:
         """Of digests, each once, those that the run's filter doesn't rule out."""
-        bits = self.spark.read.parquet(f"{run.path}/filter")
-        asked = digests.withColumn("block", _place(run.blocks)).join(bits, "block")
+        asked = digests.withColumn("block", _place(run.blocks)).join(run.filter(self.spark), "block")
         for w in range(4):
             asked = asked.filter(F.col(f"w{w}").bitwiseAND(_bit(w)) != 0)
         return asked.select("digest")
 
     def lookup(self, digests: DataFrame) -> DataFrame:
         """(digest, keep_id, n_chars, group_size) of those of digests, each once, that the index has, over all its runs."""
-        found = None
-        for run in self.runs:
-            maybe = staged(self.candidates(digests, run), "candidates")
-            n = maybe.count()
-            if not n:
-                self.skipped += 1
-                dropped(maybe)
-                continue
-            self.opened += 1
-            rows = self.spark.read.parquet(f"{run.path}/data").join(F.broadcast(maybe) if n <= BROADCAST_ROWS else maybe, "digest")
-            found = rows if found is None else found.union(rows)
-        if found is None:
-            id_type = self.spark.read.parquet(f"{self.runs[0].path}/data").schema["keep_id"].dataType.simpleString() if self.runs else "long"
-            return self.spark.createDataFrame([], f"digest binary, keep_id {id_type}, n_chars long, group_size long")
-        return _entries(found)
+        if not self.runs:
+            return self.spark.createDataFrame([], "digest binary, keep_id long, n_chars long, group_size long")
+        maybe = staged(_all(self.candidates(digests, r).withColumn("run", F.lit(k)) for k, r in enumerate(self.runs)), "candidates")
+        n = {r["run"]: r["count"] for r in maybe.groupBy("run").count().collect()}
+        self.opened, self.skipped = self.opened + len(n), self.skipped + len(self.runs) - len(n)
+        found = []
+        for k, run in enumerate(self.runs):
+            if k in n:
+                asked = maybe.filter(F.col("run") == k).select("digest")
+                found.append(run.entries(self.spark).join(F.broadcast(asked) if n[k] <= BROADCAST_ROWS else asked, "digest"))
+        return _entries(_all(found)) if found else self.runs[0].entries(self.spark).limit(0)
 
     def close(self) -> None:
         self._fs.delete(self._hadoop(self.path), True)
@@ -177,16 +184,14 @@ def _memtables(rows: DataFrame) -> list[DataFrame]:
     spark, path = rows.sparkSession, rows.staged_path
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = sorted((s.getPath().toString(), s.getLen()) for s in where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where) if s.getPath().getName().endswith(".parquet"))
-    room = min(MEMTABLE_BYTES, -(-sum(n for _, n in files) // LEAST_MEMTABLES))
-    parts: list[list[str]] = [[]]
-    size = 0
-    for name, n in files:
-        if parts[-1] and size + n > room:
-            parts.append([])
-            size = 0
-        parts[-1].append(name)
-        size += n
-    return [spark.read.schema(rows.schema).parquet(*p) for p in parts if p]
+    whole = sum(n for _, n in files)
+    n_parts = max(LEAST_MEMTABLES, -(-whole // MEMTABLE_BYTES))
+    parts: dict[int, list[str]] = {}
+    before = 0
+    for name, n in files:  # a file goes to the part that its middle lies in
+        parts.setdefault(int((before + n / 2) * n_parts // max(whole, 1)), []).append(name)
+        before += n
+    return [spark.read.schema(rows.schema).parquet(*p) for p in parts.values()]
 
 
 @dataclass(frozen=True)
