@@ -30,8 +30,8 @@ from .components import components
 from .repeats import salted_join
 from .shared import dropped, importable, staged
 
-#: Bits of a cell's number in the sketch of counts: 256 KB for each executor and 3 MB for the driver, whatever the input.
-CELL_BITS = 18
+#: Bits of a cell's number in the sketch of counts: 4 MB for each executor and 16 MB for the driver, whatever the input.
+CELL_BITS = 20
 #: Candidates' ids up to which they are sent to every executor (16 MB at most); more are shuffled.
 BROADCAST_ROWS = 1_000_000
 #: Sets that share a shingle and are compared pair by pair, at most.
@@ -72,7 +72,7 @@ def _cell(h: np.ndarray) -> np.ndarray:
 
 
 def commonness(docs: DataFrame, n: int) -> np.ndarray:
-    """For each cell of hashes how common they are: by how many powers of two its count over all texts is above the mean of all cells."""
+    """For each cell of hashes how often they are found in texts, over all texts. A shingle that many texts share stands out of the others of its cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << CELL_BITS, dtype=np.int64)
@@ -85,7 +85,7 @@ def commonness(docs: DataFrame, n: int) -> np.ndarray:
     found = docs.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     count = np.zeros(1 << CELL_BITS)
     count[found["cell"].to_numpy()] = found["n"].to_numpy()
-    return np.log2(np.maximum(count / max(1.0, count.mean()), 1.0)).astype(np.uint8)
+    return np.minimum(count, (1 << 32) - 1).astype(np.uint32) if count.max(initial=0) < 1 << 32 else (count / (count.max() / ((1 << 32) - 1))).astype(np.uint32)
 
 
 def prefixes(h: np.ndarray, row: np.ndarray, common: np.ndarray, threshold: float, n_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
