@@ -87,9 +87,14 @@ def unused(columns: list[str], name: str) -> str:
     return name
 
 
+#: Bytes of rows that a Python worker is sent at once, about. Spark's own bound counts rows, and texts are long.
+BATCH_BYTES = 4 << 20
+
+
 def importable(spark: SparkSession) -> None:
-    """Python workers import this package from where the driver has it; a cluster ships it with --py-files."""
+    """Python workers import this package from where the driver has it (a cluster ships it with --py-files), and get batches of bounded size."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
