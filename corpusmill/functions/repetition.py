@@ -1,54 +1,67 @@
-"""Shares of a text that repeated word n-grams cover. Walking n-grams with skips is sequential, so this is one Arrow UDF for all n."""
+"""Shares of a text that repeated word n-grams cover: one Arrow UDF for all n.
+
+n-grams of one text are slices of the text's words put together once, so that no n-gram is joined by itself.
+"""
 
 from __future__ import annotations
 
 from collections import Counter
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from . import text as T
+from ..workers import importable
+from . import signals
 
 TOP, DUP = (2, 3, 4), (5, 6, 7, 8, 9, 10)
 NAMES = [f"top_{n}" for n in TOP] + [f"dup_{n}" for n in DUP]
 SCHEMA = StructType([StructField(name, DoubleType()) for name in NAMES])
 
 
+def _grams(words: list[str], n: int, between: str) -> list[str]:
+    """The n-grams in order, their words joined by ``between``."""
+    whole, gap = between.join(words), len(between)
+    start = [0, *accumulate(len(w) + gap for w in words)]
+    return [whole[a : b - gap] for a, b in zip(start, start[n:], strict=False)]
+
+
 def top_share(words: list[str], n: int, size: int) -> float:
     """Characters of the most frequent n-gram, the first seen of equally frequent ones, times its count."""
     if len(words) < n or not size:
         return 0.0
-    grams = Counter(map(" ".join, zip(*(words[k:] for k in range(n)), strict=False)))
-    gram = max(grams, key=grams.__getitem__)  # the first of the largest
-    return len(gram) * grams[gram] / size
+    gram, times = Counter(_grams(words, n, " ")).most_common(1)[0]  # equal counts come in the order of first sight
+    return len(gram) * times / size
 
 
 def dup_share(words: list[str], n: int, size: int) -> float:
-    """Characters of n-grams that were seen before, walking on past each of them."""
-    if len(words) < n or not size:
-        return 0.0
-    grams = list(map("".join, zip(*(words[k:] for k in range(n)), strict=False)))
+    """Characters of n-grams that were seen before; behind each of them, the next n-gram that counts or is remembered begins after its words."""
+    grams = _grams(words, n, "") if len(words) >= n and size else []
     if len(set(grams)) == len(grams):
         return 0.0
     seen: set[str] = set()
-    i = total = 0
-    while i < len(grams):
-        if grams[i] in seen:
-            total += len(grams[i])
-            i += n
-        else:
-            seen.add(grams[i])
-            i += 1
-    return total / size
+    free = covered = 0
+    for i, gram in enumerate(grams):
+        if i < free:
+            continue
+        if gram in seen:
+            covered, free = covered + len(gram), i + n
+        seen.add(gram)
+    return covered / size
 
 
-@F.pandas_udf(SCHEMA)
-def _fractions(words: pd.Series, size: pd.Series) -> pd.DataFrame:
-    rows = [[*(top_share(w, n, s) for n in TOP), *(dup_share(w, n, s) for n in DUP)] for w, s in zip(map(list, words), size, strict=True)]
-    return pd.DataFrame(rows, columns=NAMES)
+def fractions(text: str) -> list[float]:
+    words, size = signals.words(text), len(text)
+    return [*(top_share(words, n, size) for n in TOP), *(dup_share(words, n, size) for n in DUP)]
 
 
 def ngram_fractions(text: Column) -> Column:
-    return _fractions(T.words(text), F.length(text))
+    importable()
+
+    @F.pandas_udf(SCHEMA)
+    def run(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([fractions(t or "") for t in texts], columns=NAMES)
+
+    return run(text)

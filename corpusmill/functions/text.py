@@ -232,8 +232,13 @@ def word_ngrams(items: Column, n: int) -> Column:
     return let(items, of)
 
 
+def squeezed(text: Column) -> Column:
+    """White space made single blanks, none at the ends. Lone blanks, which most of it is, aren't replaced by themselves."""
+    return F.trim(F.regexp_replace(text, f"{_blank_class()}[{SPACE}]*+| [{SPACE}]++", " "))
+
+
 def dedup_normal(text: Column) -> Column:
-    return F.regexp_replace(strip(F.lower(text)), f"[{SPACE}]+", " ")
+    return squeezed(F.lower(text))
 
 
 def sha256(text: Column) -> Column:
@@ -242,7 +247,7 @@ def sha256(text: Column) -> Column:
 
 def benchmark_normal(text: Column) -> Column:
     """Lower case, ASCII punctuation deleted, white space made single blanks."""
-    return strip(F.regexp_replace(F.regexp_replace(F.lower(text), r"[!-/:-@\[-`{-~]", ""), f"[{SPACE}]+", " "))
+    return squeezed(F.regexp_replace(F.lower(text), r"[!-/:-@\[-`{-~]++", ""))
 
 
 def trigram_similarity(a: Column, b: Column) -> Column:

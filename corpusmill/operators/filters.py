@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import repetition
+from ..functions import signals as counting
 from ..functions import text as T
 from .rules import Filter, Rule, register_filter
 
@@ -24,11 +25,8 @@ def gopher_quality(
     max_symbol_ratio: float = 0.1, max_bullet_lines_ratio: float = 0.9, max_ellipsis_lines_ratio: float = 0.3, min_stopwords: int = 2, min_alpha_ratio: float = 0.8,
 ) -> Filter:
     def signals(df: DataFrame) -> DataFrame:
-        t = T.text_of(text_field)
-        return df.withColumns({
-            "__wc": T.word_count(t), "__chars": T.word_chars(t), "__n": T.n_words(t), "__hash": T.count(t, "#"), "__dots": T.count(t, r"\.\.\.|…"),
-            "__bullets": T.bullet_lines_ratio(t), "__ends": T.ellipsis_lines_ratio(t), "__alpha": T.alpha_words(t), "__stops": T.stop_words(t),
-        })
+        names = {"__wc": "n_real", "__chars": "real_chars", "__n": "n_words", "__hash": "n_hashes", "__dots": "n_ellipses", "__bullets": "bullets_ratio", "__ends": "ends_ratio", "__alpha": "n_alpha", "__stops": "n_stops"}
+        return df.withColumn("__gopher", counting.gopher(F.col(text_field))).withColumns({k: F.col(f"__gopher.{v}") for k, v in names.items()})
 
     def rules() -> list[Rule]:
         wc, n = F.col("__wc"), F.col("__n")

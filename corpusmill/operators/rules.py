@@ -87,13 +87,23 @@ def with_failures(df: DataFrame, f: Filter, out: str = "failures") -> DataFrame:
     return f.signals(df).withColumn(out, failures(f)).select(*[c for c in own if c != out], out)
 
 
-def verdicts(df: DataFrame, filters: list[Filter], mutate: bool = False, out: str = "failures") -> DataFrame:
-    """df with the failures of all filters, in order. With ``mutate``, filters that rewrite texts do so for those after them."""
+def verdicts(df: DataFrame, filters: list[Filter], mutate: bool = False, out: str = "failures", first_only: bool = False) -> DataFrame:
+    """df with the failures of all filters, in order. With ``mutate``, filters that rewrite texts do so for those after them.
+
+    With ``first_only``, a row that a filter drops isn't judged by those after it: they see null in place of its text, and what they say of it
+    doesn't count.
+    """
     rest = [c for c in df.columns if c != out]
-    df = df.select(*rest, F.array().cast(f"array<{FAILURE}>").alias(out))
-    for f in filters:
-        df = f.signals(df.withColumnRenamed(out, "__before")).withColumn("__own", failures(f))
-        text = F.when((F.size("__before") == 0) & (F.size("__own") == 0), f.rewrite(df)).otherwise(F.col(f.text_field)) if mutate and f.rewrite else F.col(f.text_field)
+    none = F.array().cast(f"array<{FAILURE}>")
+    df = df.select(*rest, none.alias(out))
+    for k, f in enumerate(filters):
+        open_, whole = F.size("__before") == 0, f.text_field
+        df = df.withColumnRenamed(out, "__before")
+        if first_only and k:
+            df = df.withColumns({"__whole": F.col(f.text_field), f.text_field: F.when(open_, F.col(f.text_field))})
+            whole = "__whole"
+        df = f.signals(df).withColumn("__own", F.when(open_, failures(f)).otherwise(none) if first_only and k else failures(f))
+        text = F.when(open_ & (F.size("__own") == 0), f.rewrite(df)).otherwise(F.col(whole)) if mutate and f.rewrite else F.col(whole)
         df = df.select(*[text.alias(c) if c == f.text_field else c for c in rest], F.concat("__before", "__own").alias(out))
     return df
 

@@ -123,7 +123,7 @@ UNION ALL SELECT 2, 'fineweb', count(*) FILTER (NOT a), count(*) FILTER (NOT a A
 """)
 def funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     chain = [rules.make_filter("gopher_quality"), rules.make_filter("fineweb")]
-    return report.funnel(rules.verdicts(documents(spark, sf_dir), chain), chain)
+    return report.funnel(rules.verdicts(documents(spark, sf_dir), chain, first_only=True), chain)
 
 
 @query(_GOPHER + f"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import yaml
@@ -23,7 +24,7 @@ class FilterConfig:
 
 @dataclass
 class DedupConfig:
-    exact: bool = False
+    exact: bool = True
     minhash: bool = False
     version_key: str | None = None
     num_perm: int = 112
@@ -43,15 +44,17 @@ class PipelineConfig:
 
     @classmethod
     def from_dict(cls, raw: dict) -> PipelineConfig:
-        p = raw.get("pipeline", {})
+        p = raw.get("pipeline", raw) or {}
         filters = []
         for f in p.get("filters", []):
             f = dict(f)
-            name, enabled, params = f.pop("name"), f.pop("enabled", True), dict(f.pop("params", None) or {})
+            name, enabled, params = f.pop("name"), f.pop("enabled", True), dict(f.pop("params", None) or {})  # other keys are options too
             filters.append(FilterConfig(name, enabled, params | f))
         d = p.get("dedup") or {}
-        h = d.get("minhash") or {}
-        found = DedupConfig(bool((d.get("exact") or {}).get("enabled", d.get("exact") is True)), bool(h.get("enabled", False)), d.get("version_key"), *(h.get(k, v) for k, v in (("num_perm", 112), ("bands", 14), ("rows", 8), ("ngram_size", 5))))
+        phase = raw.get("phase3") or {}
+        of = lambda name: v if isinstance(v := d.get(name), dict) else {} if v is None else {"enabled": bool(v)}
+        h = of("minhash")
+        found = DedupConfig(bool(of("exact").get("enabled", True)), bool(h.get("enabled", False)), d.get("version_key") or ("arxiv_id" if phase.get("version_dedup") else None), *(h.get(k, v) for k, v in (("num_perm", 112), ("bands", 14), ("rows", 8), ("ngram_size", 5))))
         return cls(p.get("text_field", "text"), filters, found, {k: v for k, v in raw.items() if k != "pipeline"})
 
     @classmethod
@@ -79,10 +82,12 @@ class Pipeline:
         return rules.kept(self.judged(docs))
 
     def dry_run(self, docs: DataFrame) -> DataFrame:
-        return report.funnel(self.judged(docs), self.filters)
+        return report.funnel(rules.verdicts(docs, self.filters, mutate=True, first_only=True), self.filters)
 
 
 STAGES = ("ingest", "extract", "curate", "package")
+#: The column that numbers ingested rows; packages leave it out.
+POSITION = "_position"
 
 
 class Engine:
@@ -91,8 +96,9 @@ class Engine:
     Spark's commit writes _SUCCESS once a folder is whole; the folder's name holds the configuration's key, so a changed one begins anew.
     """
 
-    def __init__(self, spark: SparkSession, config: PipelineConfig, output: str, order: str = "id"):
-        self.spark, self.config, self.output, self.order = spark, config, output.rstrip("/"), order
+    def __init__(self, spark: SparkSession, config: PipelineConfig, output: str, order: str = "id", judge: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None):
+        """judge: from documents to those that stay and those that go, as ``judge.split`` and ``models.split`` make them; it comes last, being dear."""
+        self.spark, self.config, self.output, self.order, self.judge = spark, config, output.rstrip("/"), order, judge
 
     def folder(self, stage: str, kind: str = "kept") -> str:
         return f"{self.output}/{stage}-{self.config.key()}/{kind}"
@@ -111,9 +117,16 @@ class Engine:
         df.write.mode("overwrite").parquet(self.folder(stage, kind))
 
     def ingest(self, path: str, limit: int | None = None) -> None:
-        df = readers.read_docs(self.spark, path, limit=limit)
+        """Reads a file, or a folder of shards, and numbers the rows by file and place as ``POSITION``, so that copies and rows without ids are told apart.
+
+        Rows without an id are named by their number. A limit takes the first rows by number.
+        """
+        df = readers.read_any(self.spark, path)
+        df = readers.numbered(df, POSITION)
+        if limit is not None:
+            df = df.filter(F.col(POSITION) < limit)
         if self.order not in df.columns:
-            df = df.withColumn(self.order, F.sha2(F.to_json(F.struct(*df.columns)), 256))
+            df = df.withColumn(self.order, F.concat(F.lit("doc_"), F.lpad(F.col(POSITION).cast("string"), 12, "0")))
         self._put(df, "ingest", "kept")
 
     def extract(self) -> None:
@@ -129,21 +142,38 @@ class Engine:
         self._put(rules.rejected(judged), "curate", "rejected")
         kept = rules.kept(judged)
         if d.version_key:
-            kept = dedup.latest_version(kept, F.coalesce(F.col(d.version_key), F.col(self.order)), F.col("version"), self.order).filter("is_latest").drop("is_latest")
+            version = F.col("version") if "version" in kept.columns else F.lit(None).cast("string")
+            marked = dedup.latest_version(kept, F.coalesce(F.col(d.version_key).cast("string"), F.col(self.order).cast("string")), version, POSITION)
+            self._put(marked.filter("not is_latest").drop("is_latest"), "curate", "older")
+            kept = marked.filter("is_latest").drop("is_latest")
         if d.exact:
-            kept = dedup.exact(kept, self.order, text).filter("not is_duplicate").drop("hash", "first", "is_duplicate")
+            kept = dedup.first_rows(kept, POSITION, text)
         if d.minhash:
-            kept = dedup.minhash(kept, self.order, text, d.num_perm, d.bands, d.rows, d.ngram_size).filter("not is_duplicate").drop("is_duplicate")
+            kept = dedup.minhash(kept, POSITION, text, d.num_perm, d.bands, d.rows, d.ngram_size).filter("not is_duplicate").drop("is_duplicate")
         if benchmarks is not None:
-            kept, bad = contamination.split(kept, benchmarks, key=self.order, text_field=text)
+            options = self.config.extra.get("phase4", {}).get("contamination", {}) if isinstance(self.config.extra.get("phase4"), dict) else {}
+            options = {k: options[o] for k, o in (("n", "ngram_size"), ("threshold", "threshold")) if o in options}
+            kept, bad = contamination.split(kept, benchmarks, key=POSITION, text_field=text, **options)
             self._put(bad, "curate", "contaminated")
+        if self.judge is not None:
+            kept, bad = self.judge(kept)
+            self._put(bad, "curate", "low_quality")
         self._put(kept, "curate", "kept")
 
-    def package(self, target: int = writers.SHARD_BYTES, version: str = "1.0") -> dict:
-        found = writers.write_shards(self.rows("curate"), f"{self.folder('package')}", self.order, target, version=version)
+    def package(self, target: int = writers.SHARD_BYTES, version: str | None = None) -> dict:
+        """Shards or sample archives of what curation kept, as the configuration's ``packaging`` says, by its ``phase5.sort_by``."""
+        options, extra = self.config.extra.get("packaging") or {}, self.config.extra
+        rows = self.rows("curate").drop(POSITION)
+        by = (extra.get("phase5") or {}).get("sort_by", self.order)
+        version = version or str(extra.get("version", "1.0"))
+        if options.get("format", "jsonl_zst") == "webdataset":
+            found = writers.write_webdataset(rows, self.folder("package"), int(options.get("samples_per_shard", 1000)), by if by in rows.columns else self.order, self.config.text_field)
+            out = {"format": "webdataset", "num_shards": found.count(), "total_documents": found.agg(F.coalesce(F.sum("num_documents"), F.lit(0))).first()[0]}
+        else:
+            out = writers.manifest(writers.write_shards(rows, self.folder("package"), by, target, version=version), version)
         with_success = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder('package')}/_SUCCESS")
         with_success.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(with_success, True).close()
-        return writers.manifest(found, version)
+        return out
 
     def overview(self) -> DataFrame:
         """(phase, input_count, output_count, rejected_count, keep_rate) of the finished stages."""

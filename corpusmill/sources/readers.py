@@ -34,6 +34,32 @@ def read_shards(spark: SparkSession, folder: str, schema: StructType | str | Non
     return reader.option("pathGlobFilter", glob).json(folder).withColumn("shard", F.col("_metadata.file_name"))
 
 
+def read_any(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """A file by its suffix, or a folder: of shards if it holds JSON lines, else as Parquet."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if path.rstrip("/").lower().endswith((".parquet", ".csv", ".json", ".jsonl", ".zst", ".gz")) or not files.isDirectory(where):
+        return read_docs(spark, path, schema)
+    names = [f.getPath().getName() for f in files.listStatus(where)]
+    return read_shards(spark, path, schema) if any(n.endswith((".jsonl", ".jsonl.zst")) for n in names) else spark.read.parquet(path)
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """df, which reads files, with ``name``: the place of each row by file and then by place in the file, from 0 on.
+
+    Rows of one split of a file are read in order by one task, so they are numbered there; the splits' counts, one row for each, give what
+    comes before. Numbers are unique and don't depend on which task reads what.
+    """
+    from ..operators.dedup import saved
+
+    rows = saved(df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__row")), "numbered")
+    splits = rows.groupBy("__file", "__block").agg(F.min("__row").alias("__low"), F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)  # over splits, not rows
+    offsets = splits.select(F.col("__file").alias("__f"), F.col("__block").alias("__b"), (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__low")).alias("__offset"))
+    joined = rows.join(offsets, (F.col("__file") == F.col("__f")) & (F.col("__block") == F.col("__b")))
+    return joined.withColumn(name, F.col("__offset") + F.col("__row")).select(*df.columns, name)
+
+
 def count_lines(spark: SparkSession, path: str) -> int:
     return spark.read.text(path).filter(F.trim("value") != "").count()
 
@@ -81,7 +107,7 @@ def local_file(spark: SparkSession, path: str, text_field: str = "text", source:
     df = read_docs(spark, path)
     rest = [c for c in df.columns if c not in ("id", "text", "source", "metadata", text_field)]
     rows = df.withColumn("__text", T.text_of(text_field)).filter(F.col("__text") != "")
-    rows = rows.withColumn("__n", F.row_number().over(Window.orderBy(F.col("_metadata.file_path"), F.monotonically_increasing_id())) - 1) if "id" not in df.columns else rows
+    rows = numbered(rows, "__n") if "id" not in df.columns else rows
     own = F.col("id").cast("string") if "id" in df.columns else F.concat(F.lit("local_"), F.col("__n").cast("string"))
     meta = F.to_json(F.struct(*rest)) if rest else F.lit("{}")
     return rows.select(own.alias("id"), F.col("__text").alias("text"), F.lit(source).alias("source"), meta.alias("metadata"))
