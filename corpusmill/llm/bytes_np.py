@@ -11,7 +11,7 @@ import pyarrow as pa
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes of text that are worked on at once; a longer text is a chunk of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 

@@ -37,6 +37,8 @@ PLACE_BITS = 24
 BLOCK = 1 << 22
 #: Classes of one anchor that are compared within one task, at most; those of anchors with more are compared by shuffled windows.
 TOGETHER = 50_000
+#: Contexts that are compared at once, about; those of one anchor are never parted.
+AT_ONCE = 6000
 #: A key with more than one row in so many is hot: there are fewer of them than that, and their rows are spread over ``SALTS`` tasks.
 HOT_SHARE, SALTS = 1000, 128
 
@@ -165,7 +167,7 @@ def _compared(contexts: DataFrame, kind: Kind) -> DataFrame:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             held.append(batch)
-            if sum(len(x) for x in held) < TOGETHER // 2:
+            if sum(len(x) for x in held) < AT_ONCE:
                 continue
             whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             h = np.asarray(whole.column("h"))

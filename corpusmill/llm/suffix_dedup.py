@@ -85,12 +85,15 @@ def multikey_sort(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _around(t: dict[str, np.ndarray], left: int, right: int) -> tuple[np.ndarray, np.ndarray]:
     """The bytes before each anchor, nearest first, and from it on; zero where the context ends."""
-    anchor = t["at"][:-1] + t["reach"]
+    n = len(t["h"])
+    a, b = np.zeros((n, left), dtype=np.uint8), np.zeros((n, right), dtype=np.uint8)
     data = t["data"]
-    before = anchor[:, None] - 1 - np.arange(left)
-    after = anchor[:, None] + np.arange(right)
-    a = np.where(before >= t["at"][:-1, None], data[np.maximum(before, 0)], np.uint8(0))
-    b = np.where(after < t["at"][1:, None], data[np.minimum(after, len(data) - 1)], np.uint8(0))
+    for i in range(0, n, 2048):
+        low, high = t["at"][:-1][i : i + 2048, None], t["at"][1:][i : i + 2048, None]
+        anchor = low + t["reach"][i : i + 2048, None]
+        before, after = anchor - 1 - np.arange(left), anchor + np.arange(right)
+        a[i : i + 2048] = np.where(before >= low, data[np.maximum(before, 0)], np.uint8(0))
+        b[i : i + 2048] = np.where(after < high, data[np.minimum(after, len(data) - 1)], np.uint8(0))
     return a, b
 
 
