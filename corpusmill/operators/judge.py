@@ -125,3 +125,42 @@ def score_summary(df: DataFrame) -> DataFrame:
     each = df.select(F.explode("verdicts").alias("v")).groupBy(F.col("v.rule").alias("rule")).agg(F.count(F.lit(1)).alias("scored"), F.sum((~F.col("v.pass")).cast("long")).alias("failed"), F.avg("v.score").alias("mean_score"))
     high = (F.col("quality") == "high").cast("long")
     return each.union(df.agg(F.count(F.lit(1)).alias("scored"), F.coalesce(F.sum(1 - high), F.lit(0)).alias("failed"), F.avg(high).alias("mean_score")).select(F.lit("quality").alias("rule"), "scored", "failed", "mean_score"))
+
+
+def prompted(df: DataFrame, rules: list[JudgeRule], text_field: str = "text", template: dict | None = None) -> Column:
+    """The prompt of a row: of its instruction and output where it has such columns, else of its text."""
+    if "instruction" in df.columns and "output" in df.columns:
+        return prompt(rules, instruction=F.col("instruction"), output=F.col("output"), template=template)
+    return prompt(rules, text=F.col(text_field), template=template)
+
+
+def split(df: DataFrame, ask: Callable[[str], str], scope: str = "pretrain", overrides: dict[str, dict] | None = None, text_field: str = "text", retries: int = 3, delay: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """(documents of high quality, the others with the rule that they failed first) by the model's answers, each document asked about once.
+
+    Answers are written to the shared folder before rows are split by them, so that no document is asked about twice.
+    """
+    from .dedup import saved
+
+    rules = rules_for(scope, overrides)
+    done = saved(judged(df, rules, asked(ask, retries, delay)(prompted(df, rules, text_field))), "judged")
+    rule = F.concat(F.lit("llm_"), F.coalesce(F.get("failed_rules", F.lit(0)), F.lit("unknown")))
+    return done.filter("quality = 'high'").select(*df.columns), done.filter("quality <> 'high'").withColumn("rule", rule)
+
+
+def scored_sample(df: DataFrame, ask: Callable[[str], str], n: int = 50, key: str = "doc_id", scope: str = "pretrain", overrides: dict[str, dict] | None = None, text_field: str = "text", seed: int = 42, retries: int = 3, delay: float = 1.0) -> DataFrame:
+    """``score_summary`` of n documents drawn by a seed: what a report says of a dataset, the sample being its definition."""
+    from .dedup import sampled, saved
+
+    rules, some = rules_for(scope, overrides), saved(sampled(df, n, key, seed), "asked-about")
+    return score_summary(saved(judged(some, rules, asked(ask, retries, delay)(prompted(some, rules, text_field))), "judged"))
+
+
+def client_settings(config: dict | None = None, env: dict[str, str] | None = None, defaults: dict | None = None) -> dict:
+    """Where and what to ask: the configuration's ``llm`` part comes first, then the environment, then defaults; empty values count as absent."""
+    import os
+
+    env = os.environ if env is None else env
+    out = {}
+    for name, variable in (("api_url", "LLM_API_URL"), ("api_key", "LLM_API_KEY"), ("model", "LLM_MODEL"), ("samples", "LLM_SAMPLES")):
+        out[name] = (config or {}).get(name) or env.get(variable) or (defaults or {}).get(name)
+    return out

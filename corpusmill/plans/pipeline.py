@@ -132,7 +132,7 @@ class Engine:
     def extract(self) -> None:
         out = extract.extracted(self.rows("ingest"), self.config.text_field)
         self._put(out.filter("reject is not null"), "extract", "rejected")
-        self._put(out.filter("reject is null").drop("reject"), "extract", "kept")
+        self._put(out.filter("reject is null").drop("reject", "error"), "extract", "kept")
 
     def curate(self, benchmarks: DataFrame | None = None) -> None:
         text, d = self.config.text_field, self.config.dedup
