@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -99,3 +99,103 @@ def paper_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "paper", readers.arxiv_month(F.col("paper")).alias("yymm"))
 
 
+@query(r"SELECT sha256(n) AS hash, min(doc_id // 3) AS first_order, 1::BIGINT AS kept FROM (SELECT doc_id, regexp_replace(trim(lower(text), ' ' || chr(10)), '\s+', ' ', 'g') AS n FROM documents) GROUP BY n")
+def first_of_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact dedup of documents whose order repeats, three rows to a value: one row of each text is left."""
+    from ..operators import dedup
+
+    rows = documents(spark, sf_dir).select((F.floor(F.col("doc_id") / 3)).alias("o"), "text")
+    out = dedup.first_rows(rows, "o")
+    return out.groupBy(T.sha256(T.text_of("text")).alias("hash")).agg(F.min("o").alias("first_order"), F.count(F.lit(1)).alias("kept"))
+
+
+_WORDS = r"SELECT doc_id, {label} AS label, unnest(list_filter(string_split_regex(lower(text), '\s+'), lambda x: x <> '')) AS word FROM {rows}"
+
+
+def _sql_classifier(label: str, rows: str, k: int) -> str:
+    """Naive Bayes over the k most frequent words of labelled rows, for all documents: (doc_id, label, score)."""
+    return f"""WITH w AS ({_WORDS.format(label=label, rows=f"(SELECT * FROM {rows} WHERE {label} IS NOT NULL)")}), c AS (SELECT label, word, count(*) AS n FROM w GROUP BY ALL),
+v AS (SELECT word FROM c GROUP BY word ORDER BY sum(n) DESC, word LIMIT {k}), k AS (SELECT c.* FROM c JOIN v USING (word)),
+labels_of AS (SELECT {label} AS label, count(*) AS docs FROM {rows} WHERE {label} IS NOT NULL GROUP BY 1), tot AS (SELECT label, coalesce(sum(k.n), 0) AS n FROM labels_of LEFT JOIN k USING (label) GROUP BY label),
+logs AS (SELECT tot.label, v.word, ln((coalesce(k.n, 0) + 1)::DOUBLE / (tot.n + (SELECT greatest(1, count(*)) FROM v))) AS lp FROM v CROSS JOIN tot LEFT JOIN k ON k.label = tot.label AND k.word = v.word),
+prior AS (SELECT label, ln(docs::DOUBLE / (SELECT sum(docs) FROM labels_of)) AS p FROM labels_of),
+said AS (SELECT doc_id, word, count(*) AS n FROM ({_WORDS.format(label="NULL", rows="documents")}) GROUP BY ALL),
+sums AS (SELECT doc_id, label, sum(n * lp) AS s FROM said JOIN logs USING (word) GROUP BY ALL),
+score AS (SELECT d.doc_id, prior.label, p + coalesce(s, 0) AS score FROM documents d CROSS JOIN prior LEFT JOIN sums ON sums.doc_id = d.doc_id AND sums.label = prior.label) """
+
+
+@query(_sql_classifier("lang", "documents", 2000) + "SELECT doc_id, arg_max(label, score) AS language FROM score GROUP BY doc_id")
+def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import models
+
+    docs = documents(spark, sf_dir)
+    return docs.select("doc_id", models.train_classifier(docs, "lang", vocabulary=2000).best(F.col("text")).alias("language"))
+
+
+_LABELLED = "(SELECT d.doc_id, d.text, l.quality::VARCHAR AS quality FROM documents d LEFT JOIN labels l USING (doc_id))"
+
+
+@query(_sql_classifier("quality", _LABELLED, 3000) + "SELECT doc_id, round(1 / (1 + exp(max(score) FILTER (label = '0') - max(score) FILTER (label = '1'))), 6) AS quality_score FROM score GROUP BY doc_id")
+def quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chance of good quality that words tell, learned from the labelled documents; what the quality filter's threshold is for."""
+    from ..operators import models
+
+    docs = documents(spark, sf_dir)
+    labelled = docs.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+    model = models.train_classifier(labelled, "quality", vocabulary=3000)
+    return docs.select("doc_id", F.round(model.chance_of("1", F.col("text")), 6).alias("quality_score"))
+
+
+@query(f"""WITH w AS ({_WORDS.format(label="NULL", rows="documents")}), c AS (SELECT word, count(*) AS n FROM w GROUP BY word), k AS (SELECT * FROM c ORDER BY n DESC, word LIMIT 1000),
+t AS (SELECT (SELECT sum(n) FROM c)::DOUBLE AS total, (SELECT count(*) FROM c) AS kinds, (SELECT sum(n) FROM k) AS known, (SELECT count(*) FROM k) AS words),
+u AS (SELECT ln((total - known + 1) / (total + words + 1) / greatest(1, kinds - words)) AS unk, total + words + 1 AS room FROM t),
+s AS (SELECT doc_id, sum(CASE WHEN k.n IS NULL THEN unk ELSE ln((k.n + 1) / room) END) AS lp, count(*) AS n FROM w LEFT JOIN k USING (word), u GROUP BY doc_id)
+SELECT d.doc_id, round(coalesce(exp(-lp / s.n), 0), 3) AS perplexity FROM documents d LEFT JOIN s USING (doc_id)""")
+def perplexity_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import models
+
+    docs = documents(spark, sf_dir)
+    return docs.select("doc_id", F.round(models.train_language_model(docs, vocabulary=1000).perplexity(F.col("text")), 3).alias("perplexity"))
+
+
+_PROSE = r"trim(regexp_replace(regexp_replace(text, '[^A-Za-z ]', '', 'g'), ' +', ' ', 'g'))"
+
+
+def _prose() -> Column:
+    return F.trim(F.regexp_replace(F.regexp_replace("text", "[^A-Za-z ]", ""), " +", " "))
+
+
+@query(rf"""WITH p AS (SELECT doc_id, lang, source, {_PROSE} AS p FROM documents), m AS (SELECT doc_id, '# Paper ' || lang || chr(10) || chr(10) || p || ' $x^{{2}}$ end.' || chr(10) || chr(10) || '- ' || source || chr(10) || '- item' || chr(10) || chr(10) ||
+  '| id | kind |' || chr(10) || '| --- | --- |' || chr(10) || '| ' || doc_id || ' | page |' || chr(10) || chr(10) || '[Caption: Table 1]' AS m FROM p)
+SELECT doc_id, CASE WHEN length(m) >= 200 THEN md5(m) END AS text_md5, CASE WHEN length(m) < 200 THEN 'extraction_failed' END AS reject FROM m""")
+def html_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages made of documents: heading, prose with a formula, a citation and a note's mark, a list, a table and its caption, and what pages have besides."""
+    page = F.concat(
+        F.lit("<!doctype html><html><head><title>t</title><style>p {}</style></head><body><nav>menu</nav><h1>Paper "), "lang", F.lit("</h1>\n<p>"), _prose(),
+        F.lit(' <math alttext="\\displaystyle x^{2}">x</math> end<cite>[1]</cite>.</p><script>var x;</script><ul><li>'), "source", F.lit("</li><li>item</li></ul><table><tr><th>id</th><th>kind</th></tr><tr><td>"),
+        F.col("doc_id").cast("string"), F.lit("</td><td>page</td></tr></table><figcaption>Table 1</figcaption><footer>end</footer></body></html>"),
+    )
+    out = extract.extracted(documents(spark, sf_dir).select("doc_id", page.alias("text")))
+    return out.select("doc_id", F.md5("text").alias("text_md5"), "reject")
+
+
+@query(rf"""WITH p AS (SELECT doc_id, lang, {_PROSE} AS p FROM documents)
+SELECT doc_id, md5('# On ' || lang || chr(10) || chr(10) || '## Abstract' || chr(10) || chr(10) || 'Short.' || chr(10) || chr(10) || '## Main' || chr(10) || chr(10) || p || chr(10) || chr(10) || '$$\begin{{aligned}}a &= b\\c &= d\end{{aligned}}$$'
+  || chr(10) || chr(10) || '![Plot](plot.png)' || chr(10) || chr(10) || '[Caption: Sizes]' || chr(10) || chr(10) || '| id | lang |' || chr(10) || '| --- | --- |' || chr(10) || '| ' || doc_id || ' | ' || lang || ' |') AS text_md5 FROM p""")
+def latex_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Papers made of documents: title, macro, abstract, section, prose, formula, figure and table."""
+    tex = F.concat(
+        F.lit("\\documentclass{article}\\newcommand{\\own}{"), "lang", F.lit("}\\title{\\textbf{On} "), "lang", F.lit("}\n\\begin{document}\\maketitle % note\n\\begin{abstract}Short.\\end{abstract}\n\\section{Main}\n"), _prose(),
+        F.lit("\n\\begin{align}a &= b\\label{eq}\\\\c &= d\\end{align}\n\\begin{tikzpicture}\\draw;\\end{tikzpicture}\\begin{figure}[t]\\includegraphics[width=1cm]{figs/plot.png}\\caption{Plot}\\end{figure}\n"
+              "\\begin{table}\\caption{Sizes}\\begin{tabular}{lr}\\toprule id & lang \\\\ \\midrule "), F.col("doc_id").cast("string"), F.lit(" & \\own \\\\ \\bottomrule\\end{tabular}\\end{table}\n\\end{document} rest"),
+    )
+    out = extract.extracted(documents(spark, sf_dir).select("doc_id", tex.alias("text")))
+    return out.select("doc_id", F.md5("text").alias("text_md5"))
+
+
+@query(rf"""SELECT doc_id, md5('## Part' || chr(10) || {_PROSE} || ' {{x}} 3.' || chr(10) || chr(10) || '$$a  b$$' || chr(10) || chr(10) || chr(10) || '| a |' || chr(10) || '| b |' || chr(10) || chr(10) || '```' || chr(10) || '  kept   so' || chr(10) || '```') AS clean_md5 FROM documents""")
+def paper_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Papers in Markdown made of documents, with what a converter leaves behind: numbered headings, citation keys, empty brackets, commands, notes, gaps in tables."""
+    md = F.concat(F.lit("## 2.1 Part\n"), _prose(), F.lit(" smith2020deep ( , ) \\cmd{x} 3 3 3 .\n\n$$a % c\nb$$\nybar,\n##\n\n| a |\n\n| b |\n\n```\n  kept   so\n```\n"))
+    f = rules.make_filter("arxiv")
+    return f.signals(documents(spark, sf_dir).select("doc_id", md.alias("text"))).select("doc_id", F.md5("__clean").alias("clean_md5"))
