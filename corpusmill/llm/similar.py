@@ -8,10 +8,11 @@ Duplicate Detection"). Rarer shingles come first, so that what many texts share
 told by a sketch of counts over all texts, whose size doesn't depend on them. Equal sets are one. Sizes and the places of the shared
 shingle rule out most candidates, the others are verified on the sets.
 
-Shingles that few sets share have their pairs compared one by one. The sets of fuller ones are first compared with three of them, of
-smallest and largest id and the one that shares most with others, as an original does with its copies. What that leaves in
-different components is compared in full, in blocks of bounded size: each pair of blocks is one product of matrices, and gives no more
-links than it has texts. Only the texts outside a shingle's largest component take part in that, each with all others.
+Shingles that few sets share have their pairs compared one by one. The sets of fuller ones are first compared with one of them, the one
+that shares most with others, as an original does with its copies. What that leaves in different components is compared in full, in
+blocks of bounded size: each pair of blocks is one product of matrices, and gives no more links than it has texts. Only the texts outside
+a largest component take part in that, each with all others. Blocks are those of a shingle's sets or, where that is less to send, those
+of all sets that crowded shingles connect.
 """
 
 from __future__ import annotations
@@ -200,22 +201,37 @@ def _across(cells: DataFrame, threshold: float) -> DataFrame:
     return cells.groupBy("key", "i", "j").applyInArrow(run, "u long, v long")
 
 
-def _cells(crowd: DataFrame) -> DataFrame:
-    """(key, i, j, own, id, comp): the rows of crowd (key, id, n, comp, members, mark) in every cell of blocks that they are compared in.
+def _blocks(rows, grams):
+    return F.ceil(F.greatest(rows / BLOCK_ROWS, grams / BLOCK_GRAMS))
 
-    A shingle whose texts are of one component has none, and of shingles with the same texts one has. The largest component of a shingle
-    needs no comparison with itself: its blocks, which come after those of the others, meet only theirs.
+
+def _grouped(crowd: DataFrame) -> DataFrame:
+    """(key, id, n, comp) of groups whose sets are compared with each other, from crowd (key, id, n, comp, cluster): shingles, or clusters where that is less to send.
+
+    A cluster is what crowded shingles connect, so it holds all pairs of its shingles, each once. A group of one component is left out.
     """
-    parts = crowd.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("g"), F.first("members").alias("members"), F.first("mark").alias("mark"))
-    whole = parts.groupBy("key").agg(F.max(F.struct("c", "comp", "g")).alias("main"), F.sum("c").alias("c"), F.sum("g").alias("g"), F.first("members").alias("members"), F.first("mark").alias("mark"))
-    whole = whole.filter(F.col("c") > F.col("main.c")).groupBy("members", "mark").agg(F.min(F.struct("key", "main", "c", "g")).alias("x")).select("x.*")
+    keys = crowd.groupBy("cluster", "key").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("g"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
+    by_keys = keys.groupBy("cluster").agg(F.sum(F.col("g") * _blocks(F.col("c"), F.col("g"))).alias("apart"))
+    members = crowd.select("cluster", "id", "n", "comp").distinct()
+    whole = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("g"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
+    plan = whole.join(by_keys, "cluster").select("cluster", (F.col("g") * _blocks(F.col("c"), F.col("g")) <= F.col("apart")).alias("together"))
+    apart = crowd.join(plan.filter("not together").select("cluster"), "cluster", "left_semi").select("key", "id", "n", "comp")
+    together = members.join(plan.filter("together").select("cluster"), "cluster", "left_semi").select(F.xxhash64(F.lit("cluster"), "cluster").alias("key"), "id", "n", "comp")
+    return apart.union(together)
 
-    def blocks(c, g):
-        return F.ceil(F.greatest(c / BLOCK_ROWS, g / BLOCK_GRAMS))
 
-    rest, main = blocks(F.col("c") - F.col("main.c"), F.col("g") - F.col("main.g")), blocks(F.col("main.c"), F.col("main.g"))
+def _cells(groups: DataFrame) -> DataFrame:
+    """(key, i, j, own, id, comp): the rows of groups (key, id, n, comp) in every cell of blocks that they are compared in.
+
+    A group whose texts are of one component has none, and of groups with the same texts one has. The largest component of a group needs no
+    comparison with itself: its blocks, which come after those of the others, meet only theirs.
+    """
+    parts = groups.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("g"), F.bit_xor(F.xxhash64("id")).alias("mark"))
+    whole = parts.groupBy("key").agg(F.max(F.struct("c", "comp", "g")).alias("main"), F.sum("c").alias("c"), F.sum("g").alias("g"), F.bit_xor("mark").alias("mark"))
+    whole = whole.filter(F.col("c") > F.col("main.c")).groupBy("c", "g", "mark").agg(F.min(F.struct("key", "main")).alias("x")).select("c", "g", "x.*")
+    rest, main = _blocks(F.col("c") - F.col("main.c"), F.col("g") - F.col("main.g")), _blocks(F.col("main.c"), F.col("main.g"))
     plans = whole.select("key", F.col("main.comp").alias("largest"), rest.alias("rest"), main.alias("main"))
-    rows = crowd.select("key", "id", "comp").join(plans, "key")
+    rows = groups.select("key", "id", "comp").join(plans, "key")
     inside, salt = F.col("comp") == F.col("largest"), F.xxhash64("id")
     rows = rows.withColumn("own", F.when(inside, F.col("rest") + F.pmod(salt, "main")).otherwise(F.pmod(salt, "rest")))
     last = F.when(inside, F.col("rest")).otherwise(F.col("rest") + F.col("main")) - 1
@@ -254,12 +270,10 @@ def links(docs: DataFrame, threshold: float = 0.8, shingle: int = 5) -> DataFram
     pairs = _candidates(calm, threshold)
     crowded = not crowd.isEmpty()
     if crowded:
-        stats = crowd.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.bit_xor(F.xxhash64("id")).alias("mark"))
         most = rows.groupBy("id").agg(F.sum("members").alias("common"))
-        best = crowd.join(most, "id").groupBy("key").agg(F.max(F.struct("common", "id")).getField("id").alias("c"))
-        per = staged(stats.join(best, "key"), "crowded-shingles")
-        ends = crowd.join(per, "key").select("id", F.explode(F.array("a", "b", "c")).alias("other"))
-        pairs = pairs.union(ends.filter("id <> other"))
+        best = crowd.join(most, "id").groupBy("key").agg(F.max(F.struct("common", "id")).getField("id").alias("other"))
+        stars = staged(crowd.join(best, "key").filter("id <> other").select("id", "other").distinct(), "stars")
+        pairs = pairs.union(stars)
     pairs = staged(pairs.select(F.least("id", "other").alias("u"), F.greatest("id", "other").alias("v")).distinct(), "pairs")
     asked = pairs.select(F.col("u").alias("asked")).union(pairs.select("v"))
     if crowded:
@@ -272,9 +286,10 @@ def links(docs: DataFrame, threshold: float = 0.8, shingle: int = 5) -> DataFram
     found = _verified(joined, threshold)
     if crowded:
         found = staged(found, "similar")
-        comps = components(found.union(copies))
-        crowd = crowd.join(per.select("key", "mark"), "key").join(comps, crowd["id"] == comps["node"], "left").withColumn("comp", F.coalesce("component", "id"))
-        cells = staged(_cells(crowd.select("key", "id", "n", "comp", "members", "mark")), "cells")
+        comps = components(found.union(copies)).select(F.col("node").alias("id"), F.col("component").alias("comp"))
+        clusters = components(stars.select(F.col("id").alias("u"), F.col("other").alias("v"))).select(F.col("node").alias("id"), F.col("component").alias("cluster"))
+        named = crowd.select("key", "id", "n").join(comps, "id", "left").join(clusters, "id", "left").select("key", "id", "n", F.coalesce("comp", "id").alias("comp"), F.coalesce("cluster", "id").alias("cluster"))
+        cells = staged(_cells(staged(_grouped(staged(named, "crowd")), "groups")), "cells")
         if not cells.isEmpty():
             found = found.union(_across(cells.join(grams, "id"), threshold))
     return found.union(copies)
