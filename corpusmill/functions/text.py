@@ -204,8 +204,11 @@ def dup_char_frac(items: Column, text: Column) -> Column:
 
 
 def _slices(t: Column, n: int) -> Column:
-    """All strings of n characters of a text that has as many; t must be a column or a bound variable."""
-    return F.transform(F.sequence(F.lit(1), F.length(t) - n + 1), lambda i: F.substring(t, i, F.lit(n)))
+    """All strings of n characters of a text that has as many. Cut from an array of characters: a place in a text is found by walking to it."""
+    def of(chars: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(chars) - n + 1), lambda i: F.array_join(F.slice(chars, i, F.lit(n)), ""))
+
+    return let(F.split(t, ""), of)
 
 
 def char_repetition(text: Column, n: int = 10) -> Column:

@@ -125,8 +125,11 @@ def signature(text: Column, num_perm: int = 112, ngram: int = 5, seed: int = 1)
             h = (h + t[k : k + n]) * step[k]
         h = np.unique(((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(33)) % np.uint64(PRIME)
         least = np.full(num_perm, PRIME, dtype=np.uint64)
-        for i in range(0, len(h), 4096):  # both factors are under 2 ** 31
-            least = np.minimum(least, ((h[i : i + 4096, None] * a + b) % np.uint64(PRIME)).min(axis=0))
+        for i in range(0, len(h), 512):  # both factors are under 2 ** 31; the prime is one less than a power of two, so folding takes remainders
+            x = h[i : i + 512, None] * a + b
+            for _ in range(2):
+                x = (x & np.uint64(PRIME)) + (x >> np.uint64(31))
+            least = np.minimum(least, x.min(axis=0))
         return least.astype(np.int64).tolist()
 
     @F.pandas_udf(ArrayType(LongType()))

@@ -364,6 +364,20 @@ def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", T.sentences(t).cast("long").alias("sentences"), F.size(T.simple_tokens(t)).cast("long").alias("tokens"), T.count(t, "#").cast("long").alias("hashes"))
 
 
+@query(rf"""
+WITH t AS (SELECT doc_id, {SQL_LINED} AS text FROM documents), s AS (SELECT doc_id, text, trim(lower(text), ' ' || chr(10)) AS low, {_W} AS w, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS f FROM t)
+SELECT doc_id, CASE WHEN len(f) > 0 THEN len(list_filter(f, lambda x: regexp_matches(x, '[.!?;。！？；]$')))::DOUBLE / len(f) ELSE 0.0 END AS punct_lines,
+  CASE WHEN length(text) < 10 THEN 0.0 ELSE least(1.0, (length(text) - 9 - len(list_distinct(list_transform(range(1, length(text) - 8), lambda i: substr(text, i, 10))))) * 10.0 / length(text)) END AS char_repetition,
+  greatest(length(low) - 4, 1) AS char_grams, len(list_distinct(CASE WHEN length(low) < 5 THEN [low] ELSE list_transform(range(1, length(low) - 3), lambda i: substr(low, i, 5)) END)) AS distinct_char_grams, greatest(len(w) - 2, 0) AS word_grams FROM s""")
+def ngram_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = F.col("t")
+    rows = documents(spark, sf_dir).select("doc_id", lined().alias("t")).select("doc_id", "t", T.char_ngrams(t, 5).alias("c"), T.word_ngrams(T.plain_words(t), 3).alias("w"))
+    return rows.select(
+        "doc_id", T.punct_lines_ratio(t).alias("punct_lines"), T.char_repetition(t).alias("char_repetition"), F.size("c").cast("long").alias("char_grams"),
+        F.size(F.array_distinct("c")).cast("long").alias("distinct_char_grams"), F.size("w").cast("long").alias("word_grams"),
+    )
+
+
 @query(r"SELECT page_id, CASE WHEN contains(lower(html[:500]), '<html') OR contains(lower(html[:500]), '<!doctype') THEN 'html' WHEN contains(html, '\begin{document}') OR contains(html[:500], '\documentclass') THEN 'latex' ELSE 'text' END AS format FROM pages")
 def detected_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", T.detected_format(T.text_of("html")).alias("format"))

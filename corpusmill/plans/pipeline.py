@@ -57,6 +57,12 @@ class PipelineConfig:
         found = DedupConfig(bool(of("exact").get("enabled", True)), bool(h.get("enabled", False)), d.get("version_key") or ("arxiv_id" if phase.get("version_dedup") else None), *(h.get(k, v) for k, v in (("num_perm", 112), ("bands", 14), ("rows", 8), ("ngram_size", 5))))
         return cls(p.get("text_field", "text"), filters, found, {k: v for k, v in raw.items() if k != "pipeline"})
 
+    @classmethod
+    def default(cls, kind: str = "pretrain") -> PipelineConfig:
+        """The usual filters for texts, or the rules for instruction data."""
+        names = ("sft_rules",) if kind == "sft" else ("gopher_quality", "gopher_repetition", "c4", "fineweb", "pii")
+        return cls(filters=[FilterConfig(n, params={"mode": "redact"} if n == "pii" else {}) for n in names])
+
     @classmethod
     def from_yaml(cls, path: str) -> PipelineConfig:
         with open(path, encoding="utf-8") as f:
@@ -185,23 +191,32 @@ class Engine:
                 before = n
         return report.phase_stats(self.spark.createDataFrame(rows, "phase string, input_count long, output_count long"))
 
-    def run_all(self, path: str, limit: int | None = None, benchmarks: DataFrame | None = None) -> DataFrame:
+    def run_all(self, path: str, limit: int | None = None, benchmarks: DataFrame | None = None, only: str | None = None) -> DataFrame:
+        """All stages that aren't done, or ``only`` one, and the overview."""
         for stage, step in (("ingest", lambda: self.ingest(path, limit)), ("extract", self.extract), ("curate", lambda: self.curate(benchmarks)), ("package", self.package)):
-            if not self.done(stage):
+            if only in (None, stage) and not self.done(stage):
                 step()
         return self.overview()
 
 
-def benchmark(datasets: dict[str, DataFrame], config: PipelineConfig) -> dict[str, DataFrame]:
-    """Rule and filter pass rates, statistics and discrimination of named datasets under one chain; all rules are asked of every row."""
+def benchmark(datasets: dict[str, DataFrame], config: PipelineConfig, near_duplicates: bool = False) -> dict[str, DataFrame]:
+    """Rule and filter pass rates, statistics and discrimination of named datasets under one chain; all rules are asked of every row.
+
+    ``judged`` are the rows themselves, with their dataset and failures. With ``near_duplicates``, the share of near-duplicates is counted over
+    all datasets together.
+    """
     every = None
     for name, df in datasets.items():
         df = df.withColumn("dataset", F.lit(name))
         every = df if every is None else every.unionByName(df, allowMissingColumns=True)
     chain = config.chain()
     judged = dedup.saved(rules.verdicts(every, chain), "judged")
-    rates = report.filter_rates(judged, chain)
-    return {
-        "rules": report.rule_rates(judged, chain), "filters": rates, "datasets": report.dataset_stats(judged, text_field=config.text_field), "discrimination": report.discrimination(rates),
-        "duplicates": dedup.exact_stats(judged, config.text_field), "samples": report.samples(judged, order="dataset"),
-    }
+    rates, text = report.filter_rates(judged, chain), config.text_field if config.text_field in judged.columns else None
+    out = {"judged": judged, "rules": report.rule_rates(judged, chain), "filters": rates, "discrimination": report.discrimination(rates), "samples": report.samples(judged, order="dataset")}
+    if text:
+        out |= {"datasets": report.dataset_stats(judged, text_field=text), "duplicates": dedup.exact_stats(judged, text)}
+        if near_duplicates:
+            d = config.dedup
+            marked = dedup.minhash(readers.numbered_rows(judged), "__n", text, d.num_perm, d.bands, d.rows, d.ngram_size)
+            out["near_duplicates"] = marked.agg(F.count(F.lit(1)).alias("total_docs"), F.count_if("is_duplicate").alias("duplicate_docs"))
+    return out

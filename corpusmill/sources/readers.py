@@ -60,6 +60,13 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     return joined.withColumn(name, F.col("__offset") + F.col("__row")).select(*df.columns, name)
 
 
+def numbered_rows(df: DataFrame) -> DataFrame:
+    """df with ``__n``, a number of its own for each row; df is written first, so that the numbers stay."""
+    from ..operators.dedup import saved
+
+    return saved(df.withColumn("__n", F.monotonically_increasing_id()), "numbered")
+
+
 def count_lines(spark: SparkSession, path: str) -> int:
     return spark.read.text(path).filter(F.trim("value") != "").count()
 

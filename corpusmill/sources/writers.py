@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import datetime
+import hashlib
 import json
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..workers import importable
+
 #: Uncompressed bytes of a shard, about.
 SHARD_BYTES = 1 << 30
 
@@ -51,35 +55,74 @@ def sharded(df: DataFrame, sort_by: str = "id", target: int = SHARD_BYTES, ties:
 MANIFEST = "path string, num_documents long, bytes long, compressed_bytes long, sha256 string"
 
 
-def write_shards(df: DataFrame, folder: str, sort_by: str = "id", target: int = SHARD_BYTES, ties: str | None = None, version: str = "1.0") -> DataFrame:
-    """Writes shard-NNNNN.jsonl.zst files (level 3) to a folder that all executors share, and manifest.json. Returns the manifest's rows.
+def _place_of(folder: str):
+    """(file system, path) of a folder: of a URI by its scheme, else of a folder that all executors have mounted."""
+    from pyarrow import fs
 
-    Each shard is written by one task under another name and renamed when whole, so that a repeated task leaves one file.
-    """
-    rows = sharded(df, sort_by, target, ties)
+    return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:"))
 
-    def write(key, pdf):
-        import hashlib
+
+class _ShardFile:
+    """One shard as it is written: to another name, and renamed when whole, so that a repeated task leaves one file."""
+
+    def __init__(self, folder: str, number: int):
         import uuid
 
-        import pandas as pd
         import zstandard
 
-        os.makedirs(folder, exist_ok=True)
-        name = f"shard-{int(key[0]):05d}.jsonl.zst"
-        tmp, digest, size = os.path.join(folder, f".{name}.{uuid.uuid4().hex}"), hashlib.sha256(), 0
-        with open(tmp, "wb") as raw, zstandard.ZstdCompressor(level=3).stream_writer(raw) as out:
-            for line in pdf.sort_values("place")["line"]:
-                data = (line + "\n").encode()
-                digest.update(data)
-                size += len(data)
-                out.write(data)
-        os.replace(tmp, os.path.join(folder, name))
-        return pd.DataFrame([[name, len(pdf), size, os.path.getsize(os.path.join(folder, name)), digest.hexdigest()]], columns=["path", "num_documents", "bytes", "compressed_bytes", "sha256"])
+        self.fs, base = _place_of(folder)
+        self.fs.create_dir(base, recursive=True)
+        self.name = f"shard-{number:05d}.jsonl.zst"
+        self.path, self.part = f"{base}/{self.name}", f"{base}/.{self.name}.{uuid.uuid4().hex}"
+        self.raw = self.fs.open_output_stream(self.part, compression=None)
+        self.out, self.digest, self.rows, self.size = zstandard.ZstdCompressor(level=3).stream_writer(self.raw, closefd=False), hashlib.sha256(), 0, 0
+
+    def add(self, lines: list[str]) -> None:
+        data = "".join(x + "\n" for x in lines).encode()
+        self.digest.update(data)
+        self.rows, self.size = self.rows + len(lines), self.size + len(data)
+        self.out.write(data)
+
+    def done(self) -> tuple:
+        self.out.close()
+        self.raw.close()
+        self.fs.move(self.part, self.path)
+        return self.name, self.rows, self.size, self.fs.get_file_info(self.path).size, self.digest.hexdigest()
+
+
+def write_shards(df: DataFrame, folder: str, sort_by: str = "id", target: int = SHARD_BYTES, ties: str | None = None, version: str = "1.0") -> DataFrame:
+    """Writes shard-NNNNN.jsonl.zst files (level 3) and manifest.json to a folder: a URI, or one that all executors have mounted. Returns the manifest's rows.
+
+    Each shard is written by one task, which sees its lines in order, a batch at a time.
+    """
+    rows = sharded(df, sort_by, target, ties)
+    importable()
+
+    def write(batches):
+        file, number, found = None, None, []
+        for batch in batches:
+            shards, lines = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            low = 0
+            while low < len(shards):
+                high = low
+                while high < len(shards) and shards[high] == shards[low]:
+                    high += 1
+                if shards[low] != number:
+                    if file:
+                        found.append(file.done())
+                    number = shards[low]
+                    file = _ShardFile(folder, number)
+                file.add(lines[low:high])
+                low = high
+        if file:
+            found.append(file.done())
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*found, strict=True)], ["path", "num_documents", "bytes", "compressed_bytes", "sha256"])
 
     from ..operators.dedup import saved
 
-    found = saved(rows.groupBy("shard").applyInPandas(write, MANIFEST), "manifest")
+    dealt = rows.repartition("shard").sortWithinPartitions("shard", "place").select("shard", "line")
+    found = saved(dealt.mapInArrow(write, MANIFEST), "manifest")
     write_manifest(found, folder, version)
     return found
 
@@ -94,8 +137,10 @@ def manifest(shards: DataFrame, version: str = "1.0") -> dict:
 
 
 def write_manifest(shards: DataFrame, folder: str, version: str = "1.0") -> None:
-    with open(os.path.join(folder, "manifest.json"), "w", encoding="utf-8") as f:
-        json.dump(manifest(shards, version), f, indent=2)
+    fs, base = _place_of(folder)
+    fs.create_dir(base, recursive=True)
+    with fs.open_output_stream(f"{base}/manifest.json", compression=None) as f:
+        f.write(json.dumps(manifest(shards, version), indent=2).encode())
 
 
 def write_webdataset(df: DataFrame, folder: str, per_tar: int = 1000, id_col: str = "id", text_col: str = "text") -> DataFrame:
@@ -105,6 +150,7 @@ def write_webdataset(df: DataFrame, folder: str, per_tar: int = 1000, id_col: st
     """
     from ..operators.dedup import saved
 
+    importable()
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = saved(df.repartitionByRange(n, id_col).sortWithinPartitions(id_col).withColumn("__part", F.spark_partition_id()).withColumn("__row", F.monotonically_increasing_id()), "samples")
     counts = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
@@ -122,10 +168,11 @@ def write_webdataset(df: DataFrame, folder: str, per_tar: int = 1000, id_col: st
 
         import pandas as pd
 
-        os.makedirs(folder, exist_ok=True)
+        fs, base = _place_of(folder)
+        fs.create_dir(base, recursive=True)
         name = f"shard-{int(key[0]):05d}.tar"
-        tmp = os.path.join(folder, f".{name}.{uuid.uuid4().hex}")
-        with tarfile.open(tmp, "w") as tar:
+        tmp = f"{base}/.{name}.{uuid.uuid4().hex}"
+        with fs.open_output_stream(tmp, compression=None) as raw, tarfile.open(fileobj=raw, mode="w|") as tar:
             def add(member: str, data: bytes) -> None:
                 info = tarfile.TarInfo(member)
                 info.size = len(data)
@@ -138,11 +185,7 @@ def write_webdataset(df: DataFrame, folder: str, per_tar: int = 1000, id_col: st
                 for i, fig in enumerate([] if figs is None else figs):
                     if fig["bytes"] is not None:
                         add(f"{r['key']}.fig_{i:02d}{os.path.splitext(fig['name'] or '')[1] or '.bin'}", fig["bytes"])
-        os.replace(tmp, os.path.join(folder, name))
+        fs.move(tmp, f"{base}/{name}")
         return pd.DataFrame([[name, len(pdf)]], columns=["path", "num_documents"])
 
     return saved(packed.groupBy("__tar").applyInPandas(write, "path string, num_documents long"), "tars")
-
-
-def done_marker(spark: SparkSession, folder: str, stage: str, config_hash: str) -> str:
-    return f"{folder.rstrip('/')}/.{stage}_{config_hash}_SUCCESS"
