@@ -6,7 +6,7 @@ none: with all shingles in one order, two sets that are so similar share one of
 (Chaudhuri et al., "A Primitive Operator for Similarity Joins in Data Cleaning"; Xiao et al., "Efficient Similarity Joins for Near
 Duplicate Detection"). Rarer shingles come first, so that what many texts share seldom makes a candidate; how common a shingle is, is
 told by a sketch of counts over all texts, whose size doesn't depend on them. Equal sets are one. Sizes and the places of the shared
-shingle rule out most candidates, the others are verified on the sets.
+shingle rule out most candidates, bitmaps of the sets most others, and what is left is verified on the sets.
 
 Shingles that few sets share have their pairs compared one by one. The sets of fuller ones are first compared with one of them, the one
 that shares most with others, as an original does with its copies. What that leaves in different components is compared in full, in
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bytes_np as B
@@ -33,6 +33,8 @@ from .shared import dropped, importable, staged
 
 #: Bits of a cell's number in the sketch of counts: 4 MB for each executor and 16 MB for the driver, whatever the input.
 CELL_BITS = 20
+#: 64-bit words of the bitmap of a set.
+BITMAP = 16
 #: Candidates' ids up to which they are sent to every executor (16 MB at most); more are shuffled.
 BROADCAST_ROWS = 1_000_000
 #: Sets that share a shingle and are compared pair by pair, at most.
@@ -98,8 +100,15 @@ def prefixes(h: np.ndarray, row: np.ndarray, common: np.ndarray, threshold: floa
     return h[order][place < need[row]], need, size
 
 
+def bitmaps(h: np.ndarray, row: np.ndarray, n_rows: int) -> np.ndarray:
+    """For each row the bits, of 64 * ``BITMAP``, that its hashes fall on, as signed 64-bit words."""
+    bits = np.zeros((n_rows, 64 * BITMAP), dtype=np.uint8)
+    bits[row, (h & np.uint64(64 * BITMAP - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, axis=1, bitorder="little").view("<i8")
+
+
 def _prefixed(docs: DataFrame, n: int, threshold: float) -> DataFrame:
-    """(id, n, digest, keys) of each row with a set that isn't empty: its size, a digest of the set, and its prefix in order."""
+    """(id, n, digest, bits, keys) of each row with a set that isn't empty: its size, a digest and the bitmap of the set, and its prefix in order."""
     common = docs.sparkSession.sparkContext.broadcast(commonness(docs, n))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,10 +119,11 @@ def _prefixed(docs: DataFrame, n: int, threshold: float) -> DataFrame:
                 some, cuts = np.flatnonzero(size), np.r_[0, np.cumsum(size)]
                 digests = [hashlib.blake2b(h[cuts[k] : cuts[k + 1]], digest_size=16).digest() for k in some]
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(many[some])].astype(np.int32)), pa.array(keys.view(np.int64)))
+                bits = pa.ListArray.from_arrays(pa.array(np.arange(0, BITMAP * len(some) + 1, BITMAP, dtype=np.int32)), pa.array(bitmaps(h, row, j - i)[some].ravel()))
                 ids = batch.column(0).slice(i, j - i).take(pa.array(some))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(size[some]), pa.array(digests, pa.binary()), lists], ["id", "n", "digest", "keys"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array(size[some]), pa.array(digests, pa.binary()), bits, lists], ["id", "n", "digest", "bits", "keys"])
 
-    return docs.mapInArrow(run, "id long, n long, digest binary, keys array<long>")
+    return docs.mapInArrow(run, "id long, n long, digest binary, bits array<long>, keys array<long>")
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
@@ -251,6 +261,19 @@ def _candidates(calm: DataFrame, threshold: float) -> DataFrame:
     return calm.join(right, "key").filter((F.col("id") < F.col("other")) & sizes & enough).select("id", "other")
 
 
+def _by_bitmap(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (u, v) that bitmaps don't rule out: each bit that one set has and the other hasn't is a shingle at least that isn't shared."""
+    for side in "uv":
+        pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"b_{side}")), side)
+
+    def shared(a: str, b: str) -> Column:
+        apart = F.zip_with(f"b_{a}", f"b_{b}", lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
+        return F.col(f"n_{a}") - F.aggregate(apart, F.lit(0), lambda s, x: s + x)
+
+    enough = F.lit(threshold / (1 + threshold)) * (F.col("n_u") + F.col("n_v")) - 1e-6
+    return pairs.filter((shared("u", "v") >= enough) & (shared("v", "u") >= enough)).select("u", "v")
+
+
 def links(docs: DataFrame, threshold: float = 0.8, shingle: int = 5) -> DataFrame:
     """(u, v) of ids of docs (id, text) with ids whose similarity is at least the threshold, enough to connect all such pairs.
 
@@ -259,7 +282,7 @@ def links(docs: DataFrame, threshold: float = 0.8, shingle: int = 5) -> DataFram
     """
     importable(docs.sparkSession)
     rows = staged(_prefixed(docs, shingle, threshold), "prefixes")
-    sets = staged(rows.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys")), "distinct-sets")
+    sets = staged(rows.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("keys").alias("keys")), "distinct-sets")
     copies = staged(rows.select("id", "digest").join(sets.select("digest", F.col("id").alias("u")), "digest").filter("id <> u").select("u", F.col("id").alias("v")).distinct(), "copies")
     dropped(rows)
     every = sets.select("id", "n", F.posexplode("keys").alias("pos", "key"))
@@ -274,7 +297,8 @@ def links(docs: DataFrame, threshold: float = 0.8, shingle: int = 5) -> DataFram
         best = crowd.join(most, "id").groupBy("key").agg(F.max(F.struct("common", "id")).getField("id").alias("other"))
         stars = staged(crowd.join(best, "key").filter("id <> other").select("id", "other").distinct(), "stars")
         pairs = pairs.union(stars)
-    pairs = staged(pairs.select(F.least("id", "other").alias("u"), F.greatest("id", "other").alias("v")).distinct(), "pairs")
+    pairs = pairs.select(F.least("id", "other").alias("u"), F.greatest("id", "other").alias("v")).distinct()
+    pairs = staged(_by_bitmap(pairs, sets.select("id", "n", "bits"), threshold), "pairs")
     asked = pairs.select(F.col("u").alias("asked")).union(pairs.select("v"))
     if crowded:
         asked = asked.union(crowd.select("id"))
