@@ -56,6 +56,22 @@ def samples(judged: DataFrame, order: str = "doc_id", k: int = 5, failures: str
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy("filter").orderBy(order))).filter(F.col("rank") <= k)
 
 
+def rule_samples(judged: DataFrame, order: str = "doc_id", k: int = 5, failures: str = "failures") -> DataFrame:
+    """(filter, rule, order, rank, value, threshold): the first k rows that each rule fails, whatever else fails them."""
+    rows = judged.select(order, F.explode_outer(failures).alias("f")).filter("f is not null").select("f.filter", "f.rule", order, "f.value", "f.threshold")
+    return rows.withColumn("rank", F.row_number().over(Window.partitionBy("filter", "rule").orderBy(order))).filter(F.col("rank") <= k)
+
+
+def by_failures(hits: DataFrame) -> DataFrame:
+    """``rule_hits`` from the rule that fails most rows on; equals by name. Rules are few."""
+    return hits.orderBy(F.desc("failed"), "filter", "rule")
+
+
+def page(df: DataFrame, order: str, offset: int, limit: int) -> DataFrame:
+    """Rows ``offset`` to ``offset + limit`` by order: what a reader of results looks at, not a way to work through them."""
+    return df.orderBy(order).offset(offset).limit(limit)
+
+
 def dataset_stats(docs: DataFrame, dataset: str = "dataset", text_field: str = "text") -> DataFrame:
     """(dataset, num_docs, avg_word_count, min_word_count, max_word_count, avg_text_length)."""
     t = T.text_of(text_field)
@@ -73,9 +89,16 @@ def discrimination(rates: DataFrame, dataset: str = "dataset") -> DataFrame:
     return out.select("filter", "difference", verdict(F.col("difference")).alias("verdict"))
 
 
+def rejections(judged: DataFrame, failures: str = "failures") -> DataFrame:
+    """(filter, rule, rejected): by what rejected rows failed first."""
+    first = F.get(failures, F.lit(0))
+    return judged.filter(F.size(failures) > 0).groupBy(first["filter"].alias("filter"), first["rule"].alias("rule")).agg(F.count(F.lit(1)).alias("rejected"))
+
+
 def phase_stats(counts: DataFrame) -> DataFrame:
-    """counts of (phase, input_count, output_count) with rejected_count and keep_rate."""
-    return counts.select("phase", "input_count", "output_count", (F.col("input_count") - F.col("output_count")).alias("rejected_count"), T.ratio(F.col("output_count"), F.col("input_count")).alias("keep_rate"))
+    """counts of (phase, input_count, output_count, ...) with rejected_count and keep_rate."""
+    rest = [c for c in counts.columns if c not in ("phase", "input_count", "output_count")]
+    return counts.select("phase", "input_count", "output_count", *rest, (F.col("input_count") - F.col("output_count")).alias("rejected_count"), T.ratio(F.col("output_count"), F.col("input_count")).alias("keep_rate"))
 
 
 def histogram(values: DataFrame, column: str, low: float, high: float, bins: int = 20) -> DataFrame:

@@ -135,6 +135,21 @@ def dropped_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.samples(_gopher(spark, sf_dir)).withColumn("rank", F.col("rank").cast("long"))
 
 
+@query(_GOPHER + f"""SELECT rule, doc_id, rank FROM (SELECT rule, doc_id, row_number() OVER (PARTITION BY rule ORDER BY doc_id) AS rank FROM (SELECT doc_id, unnest({_GOPHER_FAILS}) AS rule FROM s)) WHERE rank <= 3""")
+def rule_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.rule_samples(_gopher(spark, sf_dir), k=3).select("rule", "doc_id", F.col("rank").cast("long").alias("rank"))
+
+
+@query(_GOPHER + f"SELECT {_GOPHER_FAILS}[1] AS rule, count(*) AS rejected FROM s WHERE len({_GOPHER_FAILS}) > 0 GROUP BY 1")
+def rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.rejections(_gopher(spark, sf_dir)).select("rule", "rejected")
+
+
+@query("SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 20 OFFSET 40")
+def document_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.page(documents(spark, sf_dir).select("doc_id", "source"), "doc_id", 40, 20)
+
+
 @query(_GOPHER + "SELECT source AS dataset, count(*) AS num_docs, avg(word_count) AS avg_word_count, min(word_count) AS min_word_count, max(word_count) AS max_word_count, (SELECT avg(length(d.text)) FROM documents d WHERE d.source = s.source) AS avg_text_length FROM s GROUP BY source")
 def dataset_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = report.dataset_stats(documents(spark, sf_dir).withColumn("dataset", F.col("source")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -105,6 +106,7 @@ class Engine:
     def __init__(self, spark: SparkSession, config: PipelineConfig, output: str, order: str = "id", judge: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None):
         """judge: from documents to those that stay and those that go, as ``judge.split`` and ``models.split`` make them; it comes last, being dear."""
         self.spark, self.config, self.output, self.order, self.judge = spark, config, output.rstrip("/"), order, judge
+        self.seconds: dict[str, float] = {}
 
     def folder(self, stage: str, kind: str = "kept") -> str:
         return f"{self.output}/{stage}-{self.config.key()}/{kind}"
@@ -182,20 +184,31 @@ class Engine:
         return out
 
     def overview(self) -> DataFrame:
-        """(phase, input_count, output_count, rejected_count, keep_rate) of the finished stages."""
+        """(phase, input_count, output_count, seconds, rejected_count, keep_rate) of the finished stages; seconds are null for stages of an earlier run."""
         rows, before = [], None
         for stage in ("ingest", "extract", "curate"):
             if self.done(stage):
                 n = self.rows(stage).count()
-                rows.append((stage, before if before is not None else n, n))
+                rows.append((stage, before if before is not None else n, n, self.seconds.get(stage)))
                 before = n
-        return report.phase_stats(self.spark.createDataFrame(rows, "phase string, input_count long, output_count long"))
+        return report.phase_stats(self.spark.createDataFrame(rows, "phase string, input_count long, output_count long, seconds double"))
+
+    def rejections(self) -> DataFrame:
+        """What curation rejected rows by, filters by their rules and the later steps by theirs."""
+        out = report.rejections(self.rows("curate", "rejected")).withColumn("step", F.lit("filters"))
+        for kind in ("contaminated", "low_quality"):
+            if self._exists(f"{self.folder('curate', kind)}/_SUCCESS"):
+                rows = self.rows("curate", kind).groupBy("rule").agg(F.count(F.lit(1)).alias("rejected"))
+                out = out.unionByName(rows.select(F.lit(kind).alias("filter"), "rule", "rejected", F.lit(kind).alias("step")))
+        return out
 
     def run_all(self, path: str, limit: int | None = None, benchmarks: DataFrame | None = None, only: str | None = None) -> DataFrame:
         """All stages that aren't done, or ``only`` one, and the overview."""
         for stage, step in (("ingest", lambda: self.ingest(path, limit)), ("extract", self.extract), ("curate", lambda: self.curate(benchmarks)), ("package", self.package)):
             if only in (None, stage) and not self.done(stage):
+                began = time.monotonic()
                 step()
+                self.seconds[stage] = time.monotonic() - began
         return self.overview()
 
 
