@@ -1,4 +1,4 @@
-"""Command line: ``python -m corpusmill.cli bench|run|ingest``."""
+"""Command line: ``python -m corpusmill.cli bench|run|ingest|serve``."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import server
 from .operators import contamination, dedup, report, rules
 from .plans import pipeline
 from .sources import readers, writers
@@ -37,6 +38,11 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("source")
     ingest.add_argument("-o", "--output", required=True)
     ingest.add_argument("-p", "--param", action="append", default=[], metavar="NAME=VALUE", help="lists are separated by commas")
+    serve = sub.add_parser("serve", help="the HTTP service over an output folder")
+    serve.add_argument("-o", "--output", required=True)
+    serve.add_argument("-c", "--config", required=True)
+    serve.add_argument("--host", default="127.0.0.1")
+    serve.add_argument("--port", type=int, default=8000)
     for p in (run, bench):
         p.add_argument("--check-contamination", metavar="NAMES", help="benchmarks by name or file, separated by commas, or all known ones")
         p.add_argument("--mirror", help="folder with copies of the known benchmarks' datasets")
@@ -84,6 +90,8 @@ def main(args: list[str] | None = None) -> int:
         given = dict(p.split("=", 1) for p in a.param)
         writers.write_docs(source(spark, **{k: v.split(",") if source.params.get(k) is list else v for k, v in given.items()}), a.output)
         return 0
+    if a.command == "serve":
+        server.served(server.Service(spark, a.output, a.config), a.host, a.port).serve_forever()
     if a.command == "run":
         config = pipeline.PipelineConfig.from_yaml(a.config)
         if a.dry_run:
