@@ -40,8 +40,10 @@ def ratio(a: Column, b: Column, empty: float = 0.0) -> Column:
 
 
 def strip(text: Column) -> Column:
-    """Without white space at both ends."""
-    return F.regexp_replace(F.regexp_replace(text, rf"^[{SPACE}]+", ""), rf"[{SPACE}]+$", "")
+    """Without white space at both ends. The first and the last character tell whether there is any."""
+    ends = F.concat(F.substring(text, 1, 1), F.substring(text, -1, 1))
+    cut = F.regexp_replace(F.regexp_replace(text, rf"^[{SPACE}]+", ""), rf"(?<![{SPACE}])[{SPACE}]+$", "")
+    return F.when(F.regexp_like(ends, F.lit(f"[{SPACE}]")), cut).otherwise(text)
 
 
 def letters(text: Column) -> Column:
@@ -235,13 +237,24 @@ def word_ngrams(items: Column, n: int) -> Column:
     return let(items, of)
 
 
+#: White space of Latin texts other than the blank, and white space that only other texts have.
+_LATIN_BLANKS = ("\t", "\n", "\x0b", "\x0c", "\r", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\xa0")
+_OTHER_SPACE = r"[\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+
+
 def squeezed(text: Column) -> Column:
-    """White space made single blanks, none at the ends. Lone blanks, which most of it is, aren't replaced by themselves."""
-    return F.trim(F.regexp_replace(text, f"{_blank_class()}[{SPACE}]*+| [{SPACE}]++", " "))
+    """White space made single blanks, none at the ends. Plain replacements where a text has no white space but that of Latin texts, as nearly all have."""
+    plain = text
+    for c in _LATIN_BLANKS:
+        plain = F.replace(plain, F.lit(c), F.lit(" "))
+    plain = let(plain, lambda t: F.when(t.contains("  "), F.regexp_replace(t, " {2,}", " ")).otherwise(t))
+    ascii_only = F.length(text) == F.octet_length(text)
+    whole = F.regexp_replace(text, f"{_blank_class()}[{SPACE}]*+| [{SPACE}]++", " ")
+    return F.trim(F.when(ascii_only | ~F.regexp_like(text, F.lit(_OTHER_SPACE)), plain).otherwise(whole))
 
 
 def dedup_normal(text: Column) -> Column:
-    return squeezed(F.lower(text))
+    return let(F.lower(text), squeezed)
 
 
 def sha256(text: Column) -> Column:
@@ -250,7 +263,7 @@ def sha256(text: Column) -> Column:
 
 def benchmark_normal(text: Column) -> Column:
     """Lower case, ASCII punctuation deleted, white space made single blanks."""
-    return squeezed(F.regexp_replace(F.lower(text), r"[!-/:-@\[-`{-~]++", ""))
+    return let(F.regexp_replace(F.lower(text), r"[!-/:-@\[-`{-~]++", ""), squeezed)
 
 
 def trigram_similarity(a: Column, b: Column) -> Column:

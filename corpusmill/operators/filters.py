@@ -84,11 +84,12 @@ def fineweb(
     """stop_chars end a line well; lines are taken as they are, not stripped."""
     def signals(df: DataFrame) -> DataFrame:
         t = T.text_of(text_field)
+        df = df.withColumns({"__gopher": counting.gopher(F.col(text_field)), "__flat": F.length(F.replace(t, F.lit("\n"), F.lit("")))})
         df = df.withColumn("__full", F.filter(F.split(t, "\n"), lambda x: F.regexp_like(x, F.lit(rf"[^{T.SPACE}]"))))
         stops = "[" + "".join("\\" + c if c in r"]\^-[&" else c for c in stop_chars) + "]$"
         return df.withColumns({
             "__ended": T.share(F.col("__full"), lambda x: F.regexp_like(x, F.lit(stops))), "__short": T.share(F.col("__full"), lambda x: F.length(x) <= short_line_length),
-            "__dup": T.ratio(T._chars(F.col("__full")) - T._chars(F.array_distinct("__full")), F.length(F.replace(t, F.lit("\n"), F.lit("")))), "__list": T.ratio(T.count(t, "\n"), T.n_words(t)),
+            "__dup": T.ratio(T._chars(F.col("__full")) - T._chars(F.array_distinct("__full")), F.col("__flat")), "__list": T.ratio(F.length(t) - F.col("__flat"), F.col("__gopher.n_words")),
         })
 
     def rules() -> list[Rule]:

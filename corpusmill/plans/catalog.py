@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import repetition
 from ..functions import text as T
 from ..operators import contamination, dedup, report, rules
+from ..sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -27,7 +28,7 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return readers.spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,17 @@ def read_docs(spark: SparkSession, path: str, schema: StructType | str | None =
     return df if limit is None else df.limit(limit)
 
 
+#: Bytes of input for each core under which rows are dealt out anew.
+LEAST_BYTES = 4 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table so small that its files may have fewer parts than there are cores, dealt out to all cores; any other as it is, so that nothing large is shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * LEAST_BYTES else df
+
+
 def read_shards(spark: SparkSession, folder: str, schema: StructType | str | None = None) -> DataFrame:
     """All *.jsonl.zst of a folder, else its *.jsonl, with ``shard``, the file's name, which sorts them."""
     where = spark._jvm.org.apache.hadoop.fs.Path(folder)
