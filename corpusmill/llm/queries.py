@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources import readers
 from . import bpe, exact_dedup, mixing, pii, quality, simhash, sql, substring_dedup, suffix_dedup, token_counts, url_filters
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return readers.spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,7 +25,7 @@ URL_RULES = [url_filters.Rule("net/", "block"), url_filters.Rule("example.net/en
 
 
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filters.judged(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
+    return url_filters.judged(readers.spread(spark.read.parquet(f"{sf_dir}/pages.parquet")), URL_RULES)
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
