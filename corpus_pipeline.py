@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from corpusmill.llm import bpe, exact_dedup, mixing, quality, simhash
 from corpusmill.llm.queries import vocabulary
 from corpusmill.llm.shared import dropped, scratch, staged
+from corpusmill.sources.readers import spread
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +50,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     for name, stage in STAGES[:-1]:
         with scratch() as tables:
             after = tables.keep(staged(stage(spark, docs, sf_dir), name))
