@@ -37,7 +37,7 @@ class Service:
         self.spark, self.output, self.config_path = spark, output, config_path
         self.jobs = {name: {"status": "idle"} for name in ("run", "bench", "ingest")}
         self.events: list[dict] = []
-        self.lock, self.llm, self.tables = threading.Lock(), {}, {}
+        self.lock, self.settings, self.tables = threading.Lock(), {}, {}
 
     def config(self) -> dict:
         with open(self.config_path, encoding="utf-8") as f:
@@ -147,13 +147,13 @@ def put_raw(s: Service, raw: str) -> dict:
 
 @route("GET", "llm-config")
 def get_llm(s: Service) -> dict:
-    found = judge.client_settings({**(s.config().get("llm") or {}), **s.llm})
+    found = judge.client_settings({**(s.config().get("llm") or {}), **s.settings})
     return {**found, "api_key": bool(found["api_key"])}  # whether there is one, not which
 
 
 @route("PUT", "llm-config")
 def put_llm(s: Service, **fields) -> dict:
-    s.llm.update({k: v for k, v in fields.items() if k in ("api_url", "api_key", "model", "samples") and v})
+    s.settings.update({k: v for k, v in fields.items() if k in ("api_url", "api_key", "model", "samples") and v})
     return get_llm(s)
 
 
