@@ -20,14 +20,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .shared import importable
+from .shared import give_back, importable, trimmed
 
 #: A rank above all merges.
 NEVER = 1 << 30
 #: Distinct words whose encoding a worker keeps; beyond it, it starts anew.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 100_000
 #: Characters of the texts that are looked at together.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 500_000
 #: Symbols of the longest words that are merged together; longer ones are merged one by one.
 TOGETHER = 64
 #: Ends a word in the trie.
@@ -352,6 +352,7 @@ def encoder(path: str) -> WordBpe:
     """The vocabulary at path, loaded once in each Python process."""
     if path not in _LOADED:
         _LOADED[path] = WordBpe(path)
+        give_back()
     return _LOADED[path]
 
 
@@ -386,7 +387,7 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_ids
-    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(trimmed(run), schema).withColumnRenamed("id", id_col)
 
 
 def decode_ids(ids: list[int], path: str) -> str:

@@ -164,7 +164,8 @@ class DigestIndex:
     def lookup(self, digests: DataFrame) -> DataFrame:
         """(digest, keep_id, n_chars, group_size) of those of digests, each once, that the index has, over all its runs."""
         if not self.runs:
-            return self.spark.createDataFrame([], "digest binary, keep_id long, n_chars long, group_size long")
+            # createDataFrame would start Python workers of another kind, with a daemon that stays.
+            return self.spark.range(0).selectExpr("cast(null as binary) as digest", "id as keep_id", "id as n_chars", "id as group_size")
         maybe = staged(_all(self.candidates(digests, r).withColumn("run", F.lit(k)) for k, r in enumerate(self.runs)), "candidates")
         n = {r["run"]: r["count"] for r in maybe.groupBy("run").count().collect()}
         self.opened, self.skipped = self.opened + len(n), self.skipped + len(self.runs) - len(n)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from . import bytes_np as B
-from .shared import importable, unused
+from .shared import importable, trimmed, unused
 
 #: Labelled rows that the list is fitted on, at most: those of smallest digest of their id.
 LABELLED_ROWS = 10_000
@@ -111,7 +111,7 @@ def with_stats(docs: DataFrame, text_col: str = "text", prefix: str = "") -> Dat
             yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, table)], names)
 
     schema = StructType([*docs.schema.fields, *(StructField(prefix + c, LongType()) for c in COUNTS)])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(trimmed(run), schema)
 
 
 #: What rules test: name and how it comes from counts, as numerator and denominator (None: the count itself).

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from . import bytes_np as B
 from . import similar
 from .components import components
-from .shared import importable, scratch, staged, unused
+from .shared import importable, scratch, staged, trimmed, unused
 
 BITS = 64
 #: Words of a shingle in general use; the query has its own.
@@ -92,7 +92,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> D
             fp = np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["id", "fp"])
 
-    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(run, f"id {kind}, fp long")
+    return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(trimmed(run), f"id {kind}, fp long")
 
 
 @dataclass(frozen=True)
@@ -119,7 +119,7 @@ def pair_counts(fps: DataFrame) -> tuple[int, np.ndarray]:
         yield pa.RecordBatch.from_arrays([pa.array([-1, *a.tolist()]), pa.array([-1, *b.tolist()]), pa.array([n, *total[a, b].tolist()])], ["a", "b", "n"])
 
     out, n = np.zeros((BITS, BITS)), 0
-    for a, b, k in fps.select("fp").mapInArrow(run, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).collect():
+    for a, b, k in fps.select("fp").mapInArrow(trimmed(run), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")).collect():
         if a < 0:
             n = k
         else:
@@ -246,7 +246,7 @@ def _verified(rows: DataFrame, distance: int) -> DataFrame:
         if held and held[0].shape[1]:
             yield links(np.concatenate(held, axis=1))
 
-    return rows.mapInArrow(run, "u long, v long")
+    return rows.mapInArrow(trimmed(run), "u long, v long")
 
 
 def links(fps: DataFrame, distance: int = 2, run: int = RUN) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from . import bytes_np as B
 from .components import components
 from .repeats import salted_join
-from .shared import dropped, importable, staged
+from .shared import dropped, importable, staged, trimmed
 
 #: Bits of a cell's number in the sketch of counts: 4 MB for each executor and 16 MB for the driver, whatever the input.
 CELL_BITS = 20
@@ -85,7 +85,7 @@ def commonness(docs: DataFrame, n: int) -> np.ndarray:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["cell", "n"])
 
-    found = docs.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    found = docs.mapInArrow(trimmed(run), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     count = np.zeros(1 << CELL_BITS)
     count[found["cell"].to_numpy()] = found["n"].to_numpy()
     return np.minimum(count, (1 << 32) - 1).astype(np.uint32) if count.max(initial=0) < 1 << 32 else (count / (count.max() / ((1 << 32) - 1))).astype(np.uint32)
@@ -123,7 +123,7 @@ def _prefixed(docs: DataFrame, n: int, threshold: float) -> DataFrame:
                 ids = batch.column(0).slice(i, j - i).take(pa.array(some))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(size[some]), pa.array(digests, pa.binary()), bits, lists], ["id", "n", "digest", "bits", "keys"])
 
-    return docs.mapInArrow(run, "id long, n long, digest binary, bits array<long>, keys array<long>")
+    return docs.mapInArrow(trimmed(run), "id long, n long, digest binary, bits array<long>, keys array<long>")
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
@@ -136,7 +136,7 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
                 sets += [np.unique(h[a:b]).tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "grams"])
 
-    return docs.mapInArrow(run, "id long, grams binary")
+    return docs.mapInArrow(trimmed(run), "id long, grams binary")
 
 
 def _verified(joined: DataFrame, threshold: float) -> DataFrame:
@@ -155,7 +155,7 @@ def _verified(joined: DataFrame, threshold: float) -> DataFrame:
                 good.append(common >= threshold * (len(a) + len(b) - common) - 1e-9)
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["u", "v"]).filter(pa.array(good, pa.bool_()))
 
-    return joined.mapInArrow(run, "u long, v long")
+    return joined.mapInArrow(trimmed(run), "u long, v long")
 
 
 def _common(row: np.ndarray, grams: np.ndarray, left: np.ndarray, right: np.ndarray, n_rows: int) -> np.ndarray:

@@ -106,3 +106,10 @@ def test_many_memtables(spark, monkeypatch):
     docs = docs_of(spark, rows).repartition(8)
     out = exact_dedup.exact_groups(docs).collect()
     assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.kept, r.text_sha256) for r in out) == brute(rows)
+
+
+def test_no_python_workers_for_an_empty_index(spark):
+    with exact_dedup.scratch():
+        found = exact_dedup.DigestIndex(spark).lookup(spark.range(3).selectExpr("cast(cast(id as string) as binary) as digest"))
+        assert "ExistingRDD" not in found._jdf.queryExecution().toString()
+        assert found.dtypes == [("digest", "binary"), ("keep_id", "bigint"), ("n_chars", "bigint"), ("group_size", "bigint")] and not found.collect()
