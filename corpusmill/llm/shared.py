@@ -39,13 +39,25 @@ def new_path(spark: SparkSession, name: str) -> str:
 _OPEN: list[list[tuple[SparkSession, str]]] = []
 
 
+#: Where true, Spark deletes the shuffle files of a query as it ends; else when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Writes the rows as Parquet to the shared folder and reads them again: lineage ends there, and lost executors lose nothing."""
+    """Writes the rows as Parquet to the shared folder and reads them again: lineage ends there, lost executors lose nothing, and no shuffle file of it stays."""
     spark = df.sparkSession
     path = new_path(spark, name)
     if _OPEN:
         _OPEN[-1].append((spark, path))
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     found = spark.read.schema(df.schema).parquet(path)
     found.staged_path = path
     return found

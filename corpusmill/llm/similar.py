@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,8 @@ BROADCAST_ROWS = 1_000_000
 RUN = 16
 #: Texts and shingles of a block, about, and shingles that are columns of one product.
 BLOCK_ROWS, BLOCK_GRAMS, COLUMNS = 512, 200_000, 512
+#: Sets are compared in parts, one after the other, each of which is sent one in so many of all shingles, or so many shingles if that is more.
+PART_SHARE, PART_GRAMS = 8, 16_000_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -85,7 +87,9 @@ def commonness(docs: DataFrame, n: int) -> np.ndarray:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["cell", "n"])
 
-    found = docs.mapInArrow(trimmed(run), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    cells = staged(docs.mapInArrow(trimmed(run), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")), "cells-of-shingles")
+    found = cells.toArrow()
+    dropped(cells)
     count = np.zeros(1 << CELL_BITS)
     count[found["cell"].to_numpy()] = found["n"].to_numpy()
     return np.minimum(count, (1 << 32) - 1).astype(np.uint32) if count.max(initial=0) < 1 << 32 else (count / (count.max() / ((1 << 32) - 1))).astype(np.uint32)
@@ -231,7 +235,7 @@ def _grouped(crowd: DataFrame) -> DataFrame:
 
 
 def _cells(groups: DataFrame) -> DataFrame:
-    """(key, i, j, own, id, comp): the rows of groups (key, id, n, comp) in every cell of blocks that they are compared in.
+    """(key, i, j, own, id, n, comp): the rows of groups (key, id, n, comp) in every cell of blocks that they are compared in.
 
     A group whose texts are of one component has none, and of groups with the same texts one has. The largest component of a group needs no
     comparison with itself: its blocks, which come after those of the others, meet only theirs.
@@ -241,12 +245,12 @@ def _cells(groups: DataFrame) -> DataFrame:
     whole = whole.filter(F.col("c") > F.col("main.c")).groupBy("c", "g", "mark").agg(F.min(F.struct("key", "main")).alias("x")).select("c", "g", "x.*")
     rest, main = _blocks(F.col("c") - F.col("main.c"), F.col("g") - F.col("main.g")), _blocks(F.col("main.c"), F.col("main.g"))
     plans = whole.select("key", F.col("main.comp").alias("largest"), rest.alias("rest"), main.alias("main"))
-    rows = groups.select("key", "id", "comp").join(plans, "key")
+    rows = groups.select("key", "id", "n", "comp").join(plans, "key")
     inside, salt = F.col("comp") == F.col("largest"), F.xxhash64("id")
     rows = rows.withColumn("own", F.when(inside, F.col("rest") + F.pmod(salt, "main")).otherwise(F.pmod(salt, "rest")))
     last = F.when(inside, F.col("rest")).otherwise(F.col("rest") + F.col("main")) - 1
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    return rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "comp")
+    return rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "n", "comp")
 
 
 def _candidates(calm: DataFrame, threshold: float) -> DataFrame:
@@ -262,7 +266,7 @@ def _candidates(calm: DataFrame, threshold: float) -> DataFrame:
 
 
 def _by_bitmap(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (u, v) that bitmaps don't rule out: each bit that one set has and the other hasn't is a shingle at least that isn't shared."""
+    """(u, v, n) of the pairs (u, v) that bitmaps don't rule out, with the shingles of both: each bit that one set has and the other hasn't is a shingle at least that isn't shared."""
     for side in "uv":
         pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"b_{side}")), side)
 
@@ -271,7 +275,39 @@ def _by_bitmap(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame
         return F.col(f"n_{a}") - F.aggregate(apart, F.lit(0), lambda s, x: s + x)
 
     enough = F.lit(threshold / (1 + threshold)) * (F.col("n_u") + F.col("n_v")) - 1e-6
-    return pairs.filter((shared("u", "v") >= enough) & (shared("v", "u") >= enough)).select("u", "v")
+    return pairs.filter((shared("u", "v") >= enough) & (shared("v", "u") >= enough)).select("u", "v", (F.col("n_u") + F.col("n_v")).alias("n"))
+
+
+def _in_parts(docs: DataFrame, shingle: int, rows: DataFrame, by: list[str], ids: list[str], most: int, compared: Callable[[DataFrame, DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """The links (u, v) that ``compared`` gives of rows and their sets (id, grams), a part of the rows after the other, so that sets never fill the disk; and the last sets.
+
+    A part is sent about ``most`` shingles, the sum of its rows' n; rows of equal ``by`` are in one part. Sets are made anew for each part of the
+    texts that ``ids`` of its rows name, and gone, with what was shuffled, before the next.
+    """
+    grams = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    n, found = max(1, math.ceil(grams / most)), []
+    for k in range(n):
+        if found:
+            dropped(sets)
+        part = rows.filter(F.pmod(F.xxhash64(*by), F.lit(n)) == k) if n > 1 else rows
+        asked = part.select(F.col(ids[0]).alias("asked"))
+        for name in ids[1:]:
+            asked = asked.union(part.select(name))
+        asked = staged(asked.distinct(), "asked")
+        few = asked.count() <= BROADCAST_ROWS
+        texts = docs.join(F.broadcast(asked) if few else asked, docs["id"] == asked["asked"], "left_semi").distinct()
+        sets = staged(_sets(texts, shingle), "sets")
+        found.append(staged(compared(part, sets), "similar"))
+        dropped(asked)
+    out = found[0]
+    for other in found[1:]:
+        out = out.union(other)
+    return out, sets
+
+
+def _pairwise(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    joined = pairs.join(sets.select(F.col("id").alias("u"), F.col("grams").alias("p")), "u").join(sets.select(F.col("id").alias("v"), F.col("grams").alias("q")), "v")
+    return _verified(joined.select("u", "v", "p", "q"), threshold)
 
 
 def links(docs: DataFrame, threshold: float = 0.8, shingle: int = 5) -> DataFrame:
@@ -299,21 +335,16 @@ def links(docs: DataFrame, threshold: float = 0.8, shingle: int = 5) -> DataFram
         pairs = pairs.union(stars)
     pairs = pairs.select(F.least("id", "other").alias("u"), F.greatest("id", "other").alias("v")).distinct()
     pairs = staged(_by_bitmap(pairs, sets.select("id", "n", "bits"), threshold), "pairs")
-    asked = pairs.select(F.col("u").alias("asked")).union(pairs.select("v"))
-    if crowded:
-        asked = asked.union(crowd.select("id"))
-    asked = staged(asked.distinct(), "asked")
-    few = asked.count() <= BROADCAST_ROWS
-    texts = docs.join(F.broadcast(asked) if few else asked, docs["id"] == asked["asked"], "left_semi").distinct()
-    grams = staged(_sets(texts, shingle), "sets")
-    joined = pairs.join(grams.select(F.col("id").alias("u"), F.col("grams").alias("p")), "u").join(grams.select(F.col("id").alias("v"), F.col("grams").alias("q")), "v").select("u", "v", "p", "q")
-    found = _verified(joined, threshold)
+    most = max(PART_GRAMS, (sets.agg(F.sum("n")).first()[0] or 0) // PART_SHARE)
+    dropped(sets)
+    found, last = _in_parts(docs, shingle, pairs, ["u"], ["u", "v"], most, lambda part, of: _pairwise(part, of, threshold))
+    dropped(last)
+    dropped(pairs)
     if crowded:
-        found = staged(found, "similar")
         comps = components(found.union(copies)).select(F.col("node").alias("id"), F.col("component").alias("comp"))
         clusters = components(stars.select(F.col("id").alias("u"), F.col("other").alias("v"))).select(F.col("node").alias("id"), F.col("component").alias("cluster"))
         named = crowd.select("key", "id", "n").join(comps, "id", "left").join(clusters, "id", "left").select("key", "id", "n", F.coalesce("comp", "id").alias("comp"), F.coalesce("cluster", "id").alias("cluster"))
         cells = staged(_cells(staged(_grouped(staged(named, "crowd")), "groups")), "cells")
         if not cells.isEmpty():
-            found = found.union(_across(cells.join(grams, "id"), threshold))
+            found = found.union(_in_parts(docs, shingle, cells, ["key", "i", "j"], ["id"], most, lambda part, of: _across(part.join(of, "id"), threshold))[0])
     return found.union(copies)

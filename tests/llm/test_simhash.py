@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 import xxhash
@@ -244,3 +245,42 @@ def test_stage_with_odd_rows(spark):
     assert left.columns == docs.columns
     assert sorted((r.doc_id or 0, r.gone_id) for r in left.collect()) == [(0, 3), (0, 7), (4, 2), (7, 5), (7, 6), (7, 6)]
     assert simhash.representatives(docs.limit(0)).collect() == []
+
+
+def test_sets_are_compared_in_parts(spark, monkeypatch):
+    from corpusmill.llm import similar
+    from corpusmill.llm.components import components
+
+    monkeypatch.setattr(similar, "RUN", 2)
+    monkeypatch.setattr(similar, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(similar, "PART_SHARE", 1 << 30)
+    monkeypatch.setattr(similar, "PART_GRAMS", 5000)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(300)]
+    texts = [" ".join(edited(rng, edited(rng, base, 4), rng.randint(2, 7))) for _ in range(24)]
+    for g in range(6):
+        other = [f"g{g}w{i}" for i in range(200)]
+        texts += [" ".join(other), " ".join(edited(rng, other, 2))]
+    sets = [grams_of(t) for t in texts]
+    want = [(i, j) for j in range(len(texts)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    parts, one = [], similar._sets
+    monkeypatch.setattr(similar, "_sets", lambda texts, n: parts.append(texts.count()) or one(texts, n))
+    got = {(r.u, r.v) for r in similar.links(spark.createDataFrame(list(enumerate(texts)), "id long, text string")).collect()}
+    assert len(parts) > 2 and {tuple(sorted(x)) for x in got} <= set(want)
+    linked = lambda pairs: {r.node: r.component for r in components(spark.createDataFrame(sorted(pairs), "u long, v long")).collect()}
+    assert linked(got) == linked(want)
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    from corpusmill.llm.shared import dropped, staged
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    spark._jvm.System.gc()
+    before = {b.name() for b in (lambda all_: [all_.apply(i) for i in range(all_.size())])(disk.getAllBlocks())}
+    table = staged(spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count(), "counted")
+    deadline = time.time() + 20
+    while new := {b.name() for b in (lambda all_: [all_.apply(i) for i in range(all_.size())])(disk.getAllBlocks())} - before:
+        assert time.time() < deadline, new
+        time.sleep(0.2)
+    assert table.count() == 7
+    dropped(table)
