@@ -61,9 +61,9 @@ def _of_words(found: list[str]) -> tuple[int, int, int, int]:
     return sum(real), sum(len(w) for w, r in zip(found, real, strict=True) if r), len(found), sum(bool((k & LETTER).any()) for k in kinds)
 
 
-def counts(texts: list[str]) -> np.ndarray:
-    """A row of ``NAMES`` for each text. Words of texts of CJK are single characters and runs of a-z."""
-    out = np.zeros((len(texts), len(NAMES)), dtype=np.int64)
+def word_counts(texts: list[str]) -> np.ndarray:
+    """The first four of ``NAMES`` for each text. Words of texts of CJK are single characters and runs of a-z."""
+    out = np.zeros((len(texts), 4), dtype=np.int64)
     i = 0
     while i < len(texts):
         j, size = i, 0
@@ -87,8 +87,15 @@ def counts(texts: list[str]) -> np.ndarray:
         per = np.r_[0, np.cumsum((kind & CJK) > 0)]
         for k in np.flatnonzero(per[at[1:]] > per[at[:-1]]):
             if is_cjk(texts[i + k]):
-                out[i + k, :4] = _of_words(cjk_words(texts[i + k]))
+                out[i + k] = _of_words(cjk_words(texts[i + k]))
         i = j
+    return out
+
+
+def counts(texts: list[str]) -> np.ndarray:
+    """A row of ``NAMES`` for each text."""
+    out = np.zeros((len(texts), len(NAMES)), dtype=np.int64)
+    out[:, :4] = word_counts(texts)
     stops = set(T.STOP_WORDS)
     for k, t in enumerate(texts):
         lines = t.splitlines()
@@ -111,3 +118,14 @@ def gopher(text: Column) -> Column:
         return found.assign(bullets_ratio=found["n_bullets"] / lines, ends_ratio=found["n_ends"] / lines)
 
     return run(text)
+
+
+def real_words(text: Column) -> Column:
+    """How many words are more than symbols, as ``text.word_count`` has it; null counts as empty."""
+    importable()
+
+    @F.pandas_udf(LongType())
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(word_counts([t or "" for t in texts])[:, 0])
+
+    return run(text)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import repetition
+from ..functions import repetition, signals
 from ..functions import text as T
 from ..operators import contamination, dedup, report, rules
 from ..sources import readers
@@ -73,10 +73,12 @@ _GOPHER_FAILS = (
 
 @query(_GOPHER + "SELECT doc_id, word_count, avg_word_length, hash_ratio, ellipsis_ratio, bullet_lines_ratio, ellipsis_lines_ratio, alpha_ratio, stopwords FROM s")
 def gopher_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = T.text_of("text")
-    return documents(spark, sf_dir).select(
-        "doc_id", T.word_count(t).cast("long").alias("word_count"), T.avg_word_length(t).alias("avg_word_length"), T.hash_ratio(t).alias("hash_ratio"), T.ellipsis_ratio(t).alias("ellipsis_ratio"),
-        T.bullet_lines_ratio(t).alias("bullet_lines_ratio"), T.ellipsis_lines_ratio(t).alias("ellipsis_lines_ratio"), T.alpha_ratio(t).alias("alpha_ratio"), T.stop_words(t).cast("long").alias("stopwords"),
+    g, said = F.col("g"), F.col("text").isNotNull()
+    rows = documents(spark, sf_dir).select("doc_id", "text", signals.gopher(F.col("text")).alias("g"))
+    return rows.select(
+        "doc_id", F.when(said, g["n_real"]).alias("word_count"), T.ratio(g["real_chars"], g["n_real"]).alias("avg_word_length"), T.ratio(g["n_hashes"], g["n_words"]).alias("hash_ratio"),
+        T.ratio(g["n_ellipses"], g["n_words"]).alias("ellipsis_ratio"), g["bullets_ratio"].alias("bullet_lines_ratio"), g["ends_ratio"].alias("ellipsis_lines_ratio"),
+        T.ratio(g["n_alpha"], g["n_words"]).alias("alpha_ratio"), F.when(said, g["n_stops"]).alias("stopwords"),
     )
 
 

@@ -33,3 +33,21 @@ def same_as_sql(spark, tmp_path):
 @pytest.mark.parametrize("name", ["latex_markdown", "html_markdown"])
 def test_papers_of_texts_without_letters_and_of_none(same_as_sql, name):
     same_as_sql(name, ODD)
+
+
+WORDS_APART = [("a bc d e f g ab c d e f g", "en"), ("x y z " * 3, "en"), ("ab " * 3 + "cd " * 3 + "é" * 9 + " é" * 40, "de"), ("😀a" * 30 + ". 😀", "en"), ("w" * 400, "en")]
+
+
+@pytest.mark.parametrize("name", ["gopher_signals"])
+def test_counts_on_odd_texts(same_as_sql, name):
+    """But texts of CJK, which the SQL doesn't cut into words; the statistics count null as empty."""
+    texts = [(t, lang) for t, lang in ODD + WORDS_APART if lang != "zh" and (t is not None or name != "dataset_stats")]
+    same_as_sql(name, texts, key="dataset" if name == "dataset_stats" else "doc_id")
+
+
+@pytest.mark.parametrize("name", ["gopher_signals"])
+def test_counts_of_a_text_take_one_pass(spark, tmp_path, name):
+    """No expression that looks at a text once for each count: on 0.1 GB they took many times as long as one pass."""
+    pq.write_table(pa.table({"doc_id": [1], "text": ["The house."], "source": ["s"]}), tmp_path / "documents.parquet")
+    plan = entry.queries()[name](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan.lower() and "split(" not in plan and plan.count("run(") >= 1
