@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import repetition, signals
+from ..functions import grams, repetition, signals
 from ..functions import text as T
 from ..operators import contamination, dedup, report, rules
 from ..sources import readers
@@ -388,11 +388,11 @@ SELECT doc_id, CASE WHEN len(f) > 0 THEN len(list_filter(f, lambda x: regexp_mat
   CASE WHEN length(text) < 10 THEN 0.0 ELSE least(1.0, (length(text) - 9 - len(list_distinct(list_transform(range(1, length(text) - 8), lambda i: substr(text, i, 10))))) * 10.0 / length(text)) END AS char_repetition,
   greatest(length(low) - 4, 1) AS char_grams, len(list_distinct(CASE WHEN length(low) < 5 THEN [low] ELSE list_transform(range(1, length(low) - 3), lambda i: substr(low, i, 5)) END)) AS distinct_char_grams, greatest(len(w) - 2, 0) AS word_grams FROM s""")
 def ngram_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = F.col("t")
-    rows = documents(spark, sf_dir).select("doc_id", lined().alias("t")).select("doc_id", "t", T.char_ngrams(t, 5).alias("c"), T.word_ngrams(T.plain_words(t), 3).alias("w"))
+    said = F.col("t").isNotNull()
+    rows = documents(spark, sf_dir).select("doc_id", lined().alias("t")).select("doc_id", "t", grams.ngram_counts(F.col("t")).alias("g"))
     return rows.select(
-        "doc_id", T.punct_lines_ratio(t).alias("punct_lines"), T.char_repetition(t).alias("char_repetition"), F.size("c").cast("long").alias("char_grams"),
-        F.size(F.array_distinct("c")).cast("long").alias("distinct_char_grams"), F.size("w").cast("long").alias("word_grams"),
+        "doc_id", "g.punct_lines", F.when(said, F.col("g.char_repetition")).otherwise(1.0).alias("char_repetition"), "g.char_grams",
+        F.when(said, F.col("g.distinct_char_grams")).alias("distinct_char_grams"), "g.word_grams",
     )
 
 

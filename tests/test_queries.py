@@ -1,11 +1,14 @@
 """Registered queries against their SQL on tables of odd rows."""
 
+import random
+
 import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
 import __spark_entry__ as entry
+from corpusmill.functions import grams
 
 ODD = [
     ("The house of the man.\nIt stands. " * 8, "en"), ("123 456 !? 789", "en"), ("", "de"), (None, "fr"), (" \n ", "en"), ("Größe und Maß der Häuser … und so weiter ... # #", "de"), ("no language", None),
@@ -38,14 +41,23 @@ def test_papers_of_texts_without_letters_and_of_none(same_as_sql, name):
 WORDS_APART = [("a bc d e f g ab c d e f g", "en"), ("x y z " * 3, "en"), ("ab " * 3 + "cd " * 3 + "é" * 9 + " é" * 40, "de"), ("😀a" * 30 + ". 😀", "en"), ("w" * 400, "en")]
 
 
-@pytest.mark.parametrize("name", ["gopher_signals"])
+@pytest.mark.parametrize("name", ["gopher_signals", "ngram_functions"])
 def test_counts_on_odd_texts(same_as_sql, name):
     """But texts of CJK, which the SQL doesn't cut into words; the statistics count null as empty."""
     texts = [(t, lang) for t, lang in ODD + WORDS_APART if lang != "zh" and (t is not None or name != "dataset_stats")]
     same_as_sql(name, texts, key="dataset" if name == "dataset_stats" else "doc_id")
 
 
-@pytest.mark.parametrize("name", ["gopher_signals"])
+def test_distinct_slices_of_small_and_large_alphabets():
+    rng = random.Random(3)
+    for letters in ("ab", "abcd \n.", "😀xy", "".join(map(chr, range(32, 900)))):
+        text = "".join(rng.choices(letters, k=700))
+        for n in (3, 5, 10):
+            assert grams.distinct_slices(text, n) == len({text[i : i + n] for i in range(len(text) - n + 1)})
+    assert grams.distinct_slices("ab", 3) == 0
+
+
+@pytest.mark.parametrize("name", ["gopher_signals", "ngram_functions"])
 def test_counts_of_a_text_take_one_pass(spark, tmp_path, name):
     """No expression that looks at a text once for each count: on 0.1 GB they took many times as long as one pass."""
     pq.write_table(pa.table({"doc_id": [1], "text": ["The house."], "source": ["s"]}), tmp_path / "documents.parquet")
