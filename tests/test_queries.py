@@ -1,6 +1,7 @@
 """Registered queries against their SQL on tables of odd rows."""
 
 import random
+from collections import Counter
 
 import duckdb
 import pyarrow as pa
@@ -8,7 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 
 import __spark_entry__ as entry
-from corpusmill.functions import grams
+from corpusmill.functions import grams, repetition
 
 ODD = [
     ("The house of the man.\nIt stands. " * 8, "en"), ("123 456 !? 789", "en"), ("", "de"), (None, "fr"), (" \n ", "en"), ("Größe und Maß der Häuser … und so weiter ... # #", "de"), ("no language", None),
@@ -48,6 +49,27 @@ def test_counts_on_odd_texts(same_as_sql, name):
     same_as_sql(name, texts, key="dataset" if name == "dataset_stats" else "doc_id")
 
 
+def test_ngram_shares_against_brute_force():
+    """Words are put together without gaps for n-grams seen before, so that different words may give equal n-grams."""
+    rng = random.Random(5)
+    for _ in range(400):
+        words = rng.choices(rng.choice([["a", "b"], ["a", "aa", "b"], ["ab", "c", "abc", "é"], [str(i) for i in range(40)]]), k=rng.randrange(60))
+        size = len(" ".join(words))
+        tops, dups = [], []
+        for n in repetition.TOP:
+            many = Counter(" ".join(words[i : i + n]) for i in range(len(words) - n + 1)).most_common(1)
+            tops.append(len(many[0][0]) * many[0][1] / size if many else 0.0)
+        for n in repetition.DUP:
+            seen, covered, i = set(), 0, 0
+            while i <= len(words) - n:
+                gram = "".join(words[i : i + n])
+                covered += len(gram) * (gram in seen)
+                i += n if gram in seen else 1
+                seen.add(gram)
+            dups.append(covered / size if size else 0.0)
+        assert repetition.fractions(" ".join(words)) == tops + dups
+
+
 def test_distinct_slices_of_small_and_large_alphabets():
     rng = random.Random(3)
     for letters in ("ab", "abcd \n.", "😀xy", "".join(map(chr, range(32, 900)))):
