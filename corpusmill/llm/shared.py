@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import ctypes
 import functools
 import os
 import shutil
@@ -14,6 +13,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..workers import BATCH_BYTES, give_back
+
 _OWN: dict[str, str] = {}
 
 
@@ -103,10 +104,6 @@ def unused(columns: list[str], name: str) -> str:
     return name
 
 
-#: Bytes of rows that a Python worker is sent at once, about. Spark's own bound counts rows, and texts are long.
-BATCH_BYTES = 4 << 20
-
-
 def importable(spark: SparkSession) -> None:
     """Python workers import this package from where the driver has it (a cluster ships it with --py-files), and get batches of bounded size."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -116,14 +113,6 @@ def importable(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
-def give_back() -> None:
-    """Returns to the system what this process has freed. Python workers are kept for later tasks, and what they hold counts as their executor's memory."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
-    if trim:
-        trim(0)
-
-
 def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """run, a function for mapInArrow, whose worker gives back at the end of each task what it has freed."""
 

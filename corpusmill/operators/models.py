@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import math
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from ..functions import text as T
-from ..workers import importable
+from ..workers import give_back, importable
 
 #: Words of a vocabulary, and classes of a classifier, at most.
 VOCABULARY, CLASSES = 5000, 200
@@ -54,8 +55,12 @@ class Classifier:
             return (chance / chance.sum()).tolist()
 
         @F.pandas_udf(ArrayType(DoubleType()))
-        def run(texts: pd.Series) -> pd.Series:
-            return texts.map(one)
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            try:
+                for texts in batches:
+                    yield texts.map(one)
+            finally:
+                give_back()
 
         return run(text)
 
@@ -118,8 +123,12 @@ class LanguageModel:
             return math.exp(-math.fsum(k * table.get(w, unknown) for w, k in counts.items()) / n) if n else 0.0
 
         @F.pandas_udf(DoubleType())
-        def run(texts: pd.Series) -> pd.Series:
-            return texts.map(one)
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            try:
+                for texts in batches:
+                    yield texts.map(one)
+            finally:
+                give_back()
 
         return run(text)
 

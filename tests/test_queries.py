@@ -9,6 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 
 import __spark_entry__ as entry
+from corpusmill import workers
 from corpusmill.functions import grams, repetition
 
 ODD = [
@@ -42,7 +43,7 @@ def test_papers_of_texts_without_letters_and_of_none(same_as_sql, name):
 WORDS_APART = [("a bc d e f g ab c d e f g", "en"), ("x y z " * 3, "en"), ("ab " * 3 + "cd " * 3 + "é" * 9 + " é" * 40, "de"), ("😀a" * 30 + ". 😀", "en"), ("w" * 400, "en")]
 
 
-@pytest.mark.parametrize("name", ["gopher_signals", "ngram_functions"])
+@pytest.mark.parametrize("name", ["gopher_signals", "ngram_functions", "language_model"])
 def test_counts_on_odd_texts(same_as_sql, name):
     """But texts of CJK, which the SQL doesn't cut into words; the statistics count null as empty."""
     texts = [(t, lang) for t, lang in ODD + WORDS_APART if lang != "zh" and (t is not None or name != "dataset_stats")]
@@ -85,3 +86,21 @@ def test_counts_of_a_text_take_one_pass(spark, tmp_path, name):
     pq.write_table(pa.table({"doc_id": [1], "text": ["The house."], "source": ["s"]}), tmp_path / "documents.parquet")
     plan = entry.queries()[name](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp" not in plan.lower() and "split(" not in plan and plan.count("run(") >= 1
+
+
+def test_batches_of_long_texts_are_bounded(spark):
+    """However many rows a task has, its worker holds a few megabytes of them at once."""
+    from collections.abc import Iterator
+
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    workers.importable()
+
+    @F.pandas_udf("long")
+    def held(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([int(texts.str.len().sum())] * len(texts))
+
+    rows = spark.range(0, 300, numPartitions=1).select(F.repeat(F.lit("words "), 20_000).alias("t"))
+    assert rows.select(F.max(held("t"))).first()[0] <= 2 * workers.BATCH_BYTES
