@@ -192,7 +192,7 @@ SELECT d.doc_id, coalesce(max(b.chars) FILTER (n = 2), 0)::DOUBLE / greatest(len
        coalesce(max(b.chars) FILTER (n = 4), 0)::DOUBLE / greatest(length(any_value(d.text)), 1) AS top_4
 FROM documents d LEFT JOIN b USING (doc_id) GROUP BY d.doc_id""")
 def top_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).select("doc_id", repetition.ngram_fractions(T.text_of("text")).alias("g")).select("doc_id", *(F.col(f"g.top_{n}") for n in repetition.TOP))
+    return documents(spark, sf_dir).select("doc_id", repetition.ngram_fractions(T.text_of("text"), dup=()).alias("g")).select("doc_id", *(F.col(f"g.top_{n}") for n in repetition.TOP))
 
 
 @query()
