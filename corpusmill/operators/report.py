@@ -7,6 +7,7 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import signals
 from ..functions import text as T
 from .rules import Filter
 
@@ -75,7 +76,7 @@ def page(df: DataFrame, order: str, offset: int, limit: int) -> DataFrame:
 def dataset_stats(docs: DataFrame, dataset: str = "dataset", text_field: str = "text") -> DataFrame:
     """(dataset, num_docs, avg_word_count, min_word_count, max_word_count, avg_text_length)."""
     t = T.text_of(text_field)
-    rows = docs.select(dataset, T.word_count(t).alias("w"), F.length(t).alias("n"))
+    rows = docs.select(dataset, signals.real_words(t).alias("w"), F.length(t).alias("n"))
     return rows.groupBy(dataset).agg(F.count(F.lit(1)).alias("num_docs"), F.avg("w").alias("avg_word_count"), F.min("w").alias("min_word_count"), F.max("w").alias("max_word_count"), F.avg("n").alias("avg_text_length"))
 
 

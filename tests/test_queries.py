@@ -43,7 +43,7 @@ def test_papers_of_texts_without_letters_and_of_none(same_as_sql, name):
 WORDS_APART = [("a bc d e f g ab c d e f g", "en"), ("x y z " * 3, "en"), ("ab " * 3 + "cd " * 3 + "é" * 9 + " é" * 40, "de"), ("😀a" * 30 + ". 😀", "en"), ("w" * 400, "en")]
 
 
-@pytest.mark.parametrize("name", ["gopher_signals", "ngram_functions", "top_ngrams", "language_model"])
+@pytest.mark.parametrize("name", ["gopher_signals", "ngram_functions", "top_ngrams", "dataset_stats", "language_model"])
 def test_counts_on_odd_texts(same_as_sql, name):
     """But texts of CJK, which the SQL doesn't cut into words; the statistics count null as empty."""
     texts = [(t, lang) for t, lang in ODD + WORDS_APART if lang != "zh" and (t is not None or name != "dataset_stats")]
@@ -80,7 +80,7 @@ def test_distinct_slices_of_small_and_large_alphabets():
     assert grams.distinct_slices("ab", 3) == 0
 
 
-@pytest.mark.parametrize("name", ["gopher_signals", "ngram_functions"])
+@pytest.mark.parametrize("name", ["gopher_signals", "ngram_functions", "dataset_stats"])
 def test_counts_of_a_text_take_one_pass(spark, tmp_path, name):
     """No expression that looks at a text once for each count: on 0.1 GB they took many times as long as one pass."""
     pq.write_table(pa.table({"doc_id": [1], "text": ["The house."], "source": ["s"]}), tmp_path / "documents.parquet")
